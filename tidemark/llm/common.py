@@ -92,3 +92,20 @@ def connected_components(edges: DataFrame, seed: int = 20) -> DataFrame:
         )
     least = cut(labels.groupBy("at").agg(F.min("node").alias("component")).withColumnRenamed("at", "of"))
     return labels.join(least, F.col("at") == F.col("of")).select("node", "component")
+
+
+def in_blocks(rows: DataFrame, key: str, salt: Column, block: int) -> DataFrame:
+    """rows with p and q: rows of one key that share p and q make a group of about 2 * block rows at most.
+
+    A key of up to `block` rows is one group (0, 0). The rows of a larger one are dealt into blocks by
+    salt, and every pair of blocks is a group, so that any two rows of a key meet in one group at least.
+    """
+    large = cut(rows.groupBy(key).agg(F.count(F.lit(1)).alias("in_all")).where(F.col("in_all") > block))
+    if large.isEmpty():
+        return rows.withColumns({"p": F.lit(0), "q": F.lit(0)})
+    small = rows.join(large, key, "left_anti").withColumns({"p": F.lit(0), "q": F.lit(0)})
+    dealt = rows.join(large, key).withColumn("blocks", F.ceil(F.col("in_all") / block).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(salt, F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
+    return small.unionByName(dealt.drop("in_all", "blocks", "own", "other"))

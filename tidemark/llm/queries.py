@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontam import decontaminate, items_digest
+from .kd_sharding import category, kd_shards, magnitude
+from .license_scan import scan_licenses
+from .line_dedup import dedup_lines
 from .pieces import encode_pieces
+from .private_data import KINDS, find_private
 from .quality import quality_rules
 from .secret_scan import scan_secrets
 from .simhash import simhash_components
@@ -38,6 +42,10 @@ def byte_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"), window=13)
@@ -88,6 +96,11 @@ def op4_pieces(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -
     return encode_pieces(docs, vocabulary("piece_bpe_32k.model", tokenizers)).drop("text")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2, least=40)
+    return found.select("doc_id", "n_lines", "n_dropped", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -112,12 +125,34 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dims = [category(F.col("source")), category(F.col("lang")), magnitude(F.col("n_chars"))]
+    return kd_shards(docs, dims, n_shards=24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_private(table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in KINDS])
+    count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i]}")
+    joined = lambda kinds: F.array_join(
+        F.transform(F.filter("spans", lambda s: s["kind"] < kinds), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ","
+    )
+    return found.select("doc_id", *[count(i) for i in range(4)], F.sha2(joined(4), 256).alias("base_sha256"), joined(5).alias("spans"), count(4))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_pieces": op4_pieces,
+    "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash": op7_simhash,
     "op8_secret_scan": op8_secret_scan,
+    "op9_kd_sharding": op9_kd_sharding,
+    "op10_private_data": op10_private_data,
 }
 SQL: dict[str, str] = {"op2_decontamination": OP2_SQL}

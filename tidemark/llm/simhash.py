@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER_ASCII, connected_components, cut, free_name, texts
+from .common import LOWER_ASCII, connected_components, cut, free_name, in_blocks, texts
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -122,22 +122,8 @@ def fingerprint_components(fps: DataFrame, radius: int = 4, block: int = 2048, s
     keys = fps.select(
         "fp", F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(_signed(m))) for i, m in enumerate(masks)])).alias("key")
     )
-    hot = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block))
-    lists = F.collect_list("fp").alias("fps")
-    if hot.isEmpty():
-        cold, more = keys, None
-    else:
-        cold = keys.join(hot, "key", "left_anti")
-        blocks = keys.join(hot, "key").withColumn("of", F.ceil(F.col("n") / block).cast("int"))
-        mine = F.pmod(F.xxhash64("fp"), F.col("of")).cast("int")
-        more = (
-            blocks.select("key", "fp", mine.alias("i"), F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("j"))
-            .groupBy("key", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"))
-            .agg(lists)
-            .select("fps")
-        )
-    found = cold.groupBy("key").agg(lists).select("fps").where(F.size("fps") > 1)
-    found = found if more is None else found.union(more.where(F.size("fps") > 1))
+    found = in_blocks(keys, "key", F.xxhash64("fp"), block).groupBy("key", "p", "q").agg(F.collect_list("fp").alias("fps"))
+    found = found.where(F.size("fps") > 1).select("fps")
     return connected_components(found.mapInArrow(_links(radius), "a long, b long"))
 
 
