@@ -74,7 +74,10 @@ def _fingerprints(text_col: str, shingle: int, seed: int):
 
 
 def spanning_links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """(member, least member) of every component of two or more under links at `radius` bits or fewer."""
+    """(member, least member) of every component of two or more under links at `radius` bits or fewer.
+
+    values: unsigned; numpy counts the bits of a signed number's magnitude.
+    """
     out: list[tuple[int, int]] = []
     rest = values.copy()
     while len(rest) > 1:
@@ -95,7 +98,7 @@ def _links(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(0)
-            values = lists.flatten().to_numpy(zero_copy_only=False)
+            values = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             sizes = np.diff(lists.offsets.to_numpy())
             starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
             two = starts[sizes == 2]
@@ -104,8 +107,8 @@ def _links(radius: int):
             pairs = [(a[near], b[near])]
             for i in np.flatnonzero(sizes > 2):
                 if found := spanning_links(values[starts[i] : starts[i] + sizes[i]], radius):
-                    pairs.append(tuple(np.array(found, np.int64).T))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*pairs, strict=True)], names=["a", "b"])
+                    pairs.append(tuple(np.array(found, np.uint64).T))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in zip(*pairs, strict=True)], names=["a", "b"])
 
     return run
 
