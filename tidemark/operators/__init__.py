@@ -1 +1 @@
-"""Relational metrics over the merchant relations."""
+"""Reusable relational operators: currency joins, rank-1 per key, folds, closures, optional filters."""

@@ -1 +1 @@
-"""Query registry and composed reports."""
+"""Metric plans: pure functions of a Warehouse and an AsOf."""

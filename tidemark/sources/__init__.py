@@ -1 +1 @@
-"""Typed source relations, constant relations, catalog and sinks."""
+"""Sources and sinks: the driver's tables, warehouse views, constants, planning inputs and files written."""

@@ -1 +1 @@
-"""Incremental forms of the activity metrics."""
+"""Left empty: the work that this library covers is a daily batch; there is no stream to read."""
