@@ -64,6 +64,22 @@ def test_license_notice_with_a_changed_word(spark):
     assert got[1].labels == "bsd" and 0.6 <= got[1].score < 1 and got[2].labels == ""
 
 
+def test_licenses_that_share_words_are_told_apart(spark):
+    want = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+        "see the Apache License, version 2.0, for more": "apache-2.0",
+        "Released under the MIT License.": "mit",
+        "released under the BSD license": "",
+        "under the terms of the GNU General Public License as published": "gpl",
+        "under the terms of the GNU Lesser General Public License as published": "gpl,lgpl",
+        "the GNU Affero General Public License": "agpl,gpl",
+    }
+    df = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+
+
 def test_decontamination(docs, spark, small):
     bench = spark.read.parquet(f"{small}/benchmark.parquet").selectExpr("item_id", "text")
     own = spark.createDataFrame([(9001, "All rights reserved under"), (None, "delta"), (9002, ""), (9003, None), (9001, "spam")], bench.schema)

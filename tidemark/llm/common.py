@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import tempfile
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +60,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for a context, as --py-files would."""
+    sc, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if getattr(sc, "_tidemark_shipped", False) or not package.is_dir():
+        return
+    path = f"{tempfile.mkdtemp(prefix='tidemark-package-')}/{package.name}.zip"  # of the driver, which serves it
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f.relative_to(package.parent))
+    sc.addPyFile(path)
+    sc._tidemark_shipped = True
+
+
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
+    """df.mapInArrow() with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def text_key(text: Column) -> Column:
     """64-bit key of a text; with doc_id it names a row. Rows alike in both are repeats of one row and get one result."""
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import alnum_words, free_name, texts
+from .common import alnum_words, arrow_map, free_name, texts
 
 #: Gaps between words before lower-casing.
 _GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -190,7 +190,7 @@ def decontaminate(
         rows = keyed.where(F.col("block") == b).collect()  # at most about block_words words
         shared = sc.broadcast([(r.item, [w.encode().lower() for w in r.piece], r.total) for r in rows])
         last = b == n_blocks - 1
-        out = out.mapInArrow(_scan(shared, window, text_col, state, last), T.StructType(docs.schema.fields + (judged if last else between)))
+        out = arrow_map(out, _scan(shared, window, text_col, state, last), T.StructType(docs.schema.fields + (judged if last else between)))
     return out
 
 

@@ -4,7 +4,7 @@ Templates are license notices as word sequences. Every word k-gram of a text is
 the template positions with the same hash; the words themselves then confirm the hit. A hit votes for
 a diagonal, text position minus template position. Votes are summed by diagonal, diagonals within a
 few words of each other are merged (a notice with inserted or missing words), and a merged span is
-reported if enough of the template stands in it.
+reported if enough of the template stands in it, with a gram that no other license's notice has.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights rese
 #: Short notices of public licenses, with labels of our own.
 NOTICES = (
     ("licensed under the apache license version 2 0", "apache-2.0"),
+    ("apache license version 2 0", "apache-2.0"),
     ("you may not use this file except in compliance with the license you may obtain a copy of the license at", "apache-2.0"),
     ("released under the mit license", "mit"),
     ("licensed under the mit license", "mit"),
@@ -50,15 +51,25 @@ NOTICES = (
 )
 
 
+#: A notice of fewer words than this stands only if nearly all of it does: one of its words is its license's name.
+SHORT, SHORT_COVERAGE = 10, 0.8
+
+
 def template_grams(spark: SparkSession, k: int, notices=NOTICES, base=BASE) -> DataFrame:
-    """(template, label, is_base, len, tpos, k, gram): the k-grams of the templates; shorter templates are one gram."""
-    rows = []
+    """(template, label, is_base, len, tpos, k, gram, own): the k-grams of the templates; shorter templates are one gram.
+
+    own: no template of another label has the gram.
+    """
+    rows, labels = [], {}
     for t, (phrase, label) in enumerate([*base, *notices]):
         words = phrase.split()
         size = min(k, len(words))
-        rows += [(t, label, t < len(base), len(words), i, size, " ".join(words[i : i + size])) for i in range(len(words) - size + 1)]
-    quoted = ", ".join(f"({t}, '{a}', {b}, {n}, {i}, {s}, '{g}')" for t, a, b, n, i, s, g in rows)
-    return spark.sql(f"SELECT * FROM VALUES {quoted} AS t(template, label, is_base, len, tpos, k, gram)")
+        for i in range(len(words) - size + 1):
+            gram = " ".join(words[i : i + size])
+            rows.append((t, label, t < len(base), len(words), i, size, gram))
+            labels.setdefault(gram, set()).add(label)
+    quoted = ", ".join(f"({t}, '{a}', {b}, {n}, {i}, {s}, '{g}', {len(labels[g]) == 1})" for t, a, b, n, i, s, g in rows)
+    return spark.sql(f"SELECT * FROM VALUES {quoted} AS t(template, label, is_base, len, tpos, k, gram, own)")
 
 
 def license_spans(
@@ -68,8 +79,9 @@ def license_spans(
 
     h is the text's key; rows alike in id and text give one set of spans. first and last are words from
     0, coverage is the share of the template's words found, places the starts of complete, unbroken
-    occurrences. Spans below `least` are dropped, and base phrases count complete only. slip: how far
-    neighbouring diagonals may lie apart.
+    occurrences. Spans below `least` (SHORT_COVERAGE for short notices) and those of grams that other
+    licenses' notices share are dropped, and base phrases count complete only. slip: how far neighbouring
+    diagonals may lie apart.
     """
     grams = template_grams(docs.sparkSession, k, notices, base)
     sizes = sorted({min(k, len(p.split())) for p, _ in (*base, *notices)})
@@ -82,14 +94,14 @@ def license_spans(
     d = d.select("doc_id", "h", "w", "lead", "p", F.explode(hashes).alias("hash"))
     table = grams.select("*", F.split("gram", " ").alias("tw"))
     by_size = F.coalesce(*[F.when(F.col("k") == s, F.xxhash64(F.lit(s), *[F.get("tw", F.lit(i)) for i in range(s)])) for s in sizes])
-    table = F.broadcast(table.select("template", "label", "is_base", "len", "tpos", "k", "gram", by_size.alias("thash")))
+    table = F.broadcast(table.select("template", "label", "is_base", "len", "tpos", "k", "gram", "own", by_size.alias("thash")))
     same = F.concat_ws(" ", F.slice("w", F.col("p") + 1, F.col("k"))) == F.col("gram")
     hits = d.join(table, (F.col("hash") == F.col("thash")) & same).select(
-        "doc_id", "h", "template", "label", "is_base", "len", "tpos", "k", (F.col("p") - F.col("lead")).alias("pos")
+        "doc_id", "h", "template", "label", "is_base", "len", "tpos", "k", "own", (F.col("p") - F.col("lead")).alias("pos")
     )
     votes = (
         hits.groupBy("doc_id", "h", "template", "label", "is_base", "len", "k", (F.col("pos") - F.col("tpos")).alias("diagonal"))
-        .agg(F.collect_set("tpos").alias("at"))
+        .agg(F.collect_set("tpos").alias("at"), F.max("own").alias("own"))
         .withColumn("complete", F.size("at") == F.col("len") - F.col("k") + 1)
     )
     one = Window.partitionBy("doc_id", "h", "template").orderBy("diagonal")
@@ -97,13 +109,16 @@ def license_spans(
     votes = votes.withColumn("new", new).withColumn("span", F.sum("new").over(one))
     merged = votes.groupBy("doc_id", "h", "template", "label", "is_base", "len", "k", "span").agg(
         F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"),
+        F.max("own").alias("own"),
         F.min(F.col("diagonal") + F.array_min("at")).alias("first"),
         F.max(F.col("diagonal") + F.array_max("at") + F.col("k") - 1).alias("last"),
         F.array_sort(F.collect_list(F.when(F.col("complete"), F.col("diagonal")))).alias("places"),
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda t: F.sequence(t, t + F.col("k") - 1)))))
     merged = merged.withColumn("coverage", covered / F.col("len"))
-    return merged.where((F.col("coverage") >= least) & (~F.col("is_base") | (F.size("places") > 0))).drop("at", "span", "k", "len")
+    enough = F.col("coverage") >= F.when(F.col("len") < SHORT, max(least, SHORT_COVERAGE)).otherwise(least)
+    whole = F.when(F.col("is_base"), F.size("places") > 0).otherwise(F.col("own"))
+    return merged.where(enough & whole).drop("at", "span", "k", "len", "own")
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, cut, in_blocks, text_key
+from .common import arrow_map, connected_components, cut, in_blocks, text_key
 
 INDEX, PROBE = 1, 2
 
@@ -182,7 +182,7 @@ def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 25
     are searched in groups of at most about 2 * block lines, however many lines share a segment. The ids
     of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
     """
-    keys = docs.select(F.col(text_col)).mapInArrow(_segments(edits, least), "key long, id long, role byte")
+    keys = arrow_map(docs.select(F.col(text_col)), _segments(edits, least), "key long, id long, role byte")
     same = Window.partitionBy("key")
     keys = keys.select(
         "*",
@@ -197,7 +197,7 @@ def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 25
     lines = cut(lines.select("id", "line").dropDuplicates(["id"]))
     groups = in_blocks(keys, "key", F.xxhash64("id"), block).join(lines, "id")
     groups = groups.groupBy("key", "p", "q").agg(F.collect_list(F.struct("id", "role", "line")).alias("lines")).where(F.size("lines") > 1)
-    return groups.select("lines").mapInArrow(_verify(edits), "a long, b long")
+    return arrow_map(groups.select("lines"), _verify(edits), "a long, b long")
 
 
 def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -259,4 +259,4 @@ def dedup_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str =
     same = F.col(id_col).eqNullSafe(F.col("gone_id")) & (text_key(F.col(text_col)) == F.col("gone_h"))
     rows = docs.join(gone, same, "left").select(*[F.col(f"`{c}`") for c in docs.columns], "lines_gone", F.coalesce("n_near", F.lit(0)).alias("n_near"))
     more = [T.StructField(c, T.LongType()) for c in ("n_lines", "n_dropped", "n_near")]
-    return rows.mapInArrow(_without(text_col), T.StructType(docs.schema.fields + more))
+    return arrow_map(rows, _without(text_col), T.StructType(docs.schema.fields + more))

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import arrow_map
+
 SPACE = "▁"
 _MARKS, _LETTERS = ",.;:!?", "A-Za-z\u00c0-\u024f"
 #: Chunks between cuts: before a space run, around a line break, and between a letter and a mark.
@@ -169,7 +171,7 @@ def encode_pieces(docs: DataFrame, model: bytes, text_col: str = "text", check:
             ] + [pa.array(exact, pa.bool_())] * check
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *(k for k, _ in kinds)])
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields + [T.StructField(k, t) for k, t in kinds]))
+    return arrow_map(docs, run, T.StructType(docs.schema.fields + [T.StructField(k, t) for k, t in kinds]))
 
 
 def decode_pieces(docs: DataFrame, model: bytes, pieces_col: str = "pieces", out_col: str = "text") -> DataFrame:
@@ -184,7 +186,7 @@ def decode_pieces(docs: DataFrame, model: bytes, pieces_col: str = "pieces", out
             text = pa.array([None if x is None else own.decode(x) for x in rows], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, out_col])
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields + [T.StructField(out_col, T.StringType())]))
+    return arrow_map(docs, run, T.StructType(docs.schema.fields + [T.StructField(out_col, T.StringType())]))
 
 
 _LOADED: dict[int, Pieces] = {}

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import arrow_map
+
 KINDS = ("assign", "access", "hex", "novel")
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -129,7 +131,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", least_novelty: float =
             found = [[{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(x or "", least_novelty)] for x in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(_SPAN))], names=[*batch.schema.names, "secrets"])
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields + [T.StructField("secrets", _SPAN_TYPE)]))
+    return arrow_map(docs, run, T.StructType(docs.schema.fields + [T.StructField("secrets", _SPAN_TYPE)]))
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:

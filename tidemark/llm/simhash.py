@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER_ASCII, connected_components, cut, free_name, in_blocks, texts
+from .common import LOWER_ASCII, arrow_map, connected_components, cut, free_name, in_blocks, texts
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -127,7 +127,7 @@ def fingerprint_components(fps: DataFrame, radius: int = 4, block: int = 2048, s
     )
     found = in_blocks(keys, "key", F.xxhash64("fp"), block).groupBy("key", "p", "q").agg(F.collect_list("fp").alias("fps"))
     found = found.where(F.size("fps") > 1).select("fps")
-    return connected_components(found.mapInArrow(_links(radius), "a long, b long"))
+    return connected_components(arrow_map(found, _links(radius), "a long, b long"))
 
 
 def simhash_components(
@@ -142,7 +142,7 @@ def simhash_components(
     component_id null. Repeated rows stay, each with the same result. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = cut(rows.mapInArrow(_fingerprints("text", shingle, seed), "doc_id long, fp long"))
+    rows = cut(arrow_map(rows, _fingerprints("text", shingle, seed), "doc_id long, fp long"))
     fps = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     linked = cut(fingerprint_components(fps.select("fp"), radius).select(F.col("node").alias("fp"), "component"))
     known = cut(fps.join(linked, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")))

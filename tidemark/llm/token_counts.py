@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, ensure_checkpoint_dir
+from .common import arrow_map, cut, ensure_checkpoint_dir
 
 BLOCKS = "file string, block long, ids binary"
 
@@ -39,7 +39,7 @@ def read_token_files(spark: SparkSession, path: str, width: int = 2, block_token
                     part = [pa.array([path]), pa.array([k // step], pa.int64()), pa.array([bytes(raw[k : k + step])], pa.binary())]
                     yield pa.RecordBatch.from_arrays(part, names=["file", "block", "ids"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, BLOCKS)
+    return arrow_map(spark.read.format("binaryFile").load(path).select("path", "content"), run, BLOCKS)
 
 
 def count_tokens(blocks: DataFrame, eod: int, width: int = 2) -> DataFrame:
@@ -64,7 +64,7 @@ def count_tokens(blocks: DataFrame, eod: int, width: int = 2) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(pieces, pa.list_(pa.int64()))], names=["file", "block", "pieces"]
             )
 
-    found = blocks.select("file", "block", "ids").mapInArrow(run, "file string, block long, pieces array<long>")
+    found = arrow_map(blocks.select("file", "block", "ids"), run, "file string, block long, pieces array<long>")
     found = cut(found.dropDuplicates(["file", "block"]))
     seps = found.select("file", "block", F.floor(F.col("block") / 1024).alias("part"), (F.size("pieces") - 1).cast("long").alias("n"))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -120,7 +120,7 @@ def write_token_stream(docs: DataFrame, ranks: bytes, pattern: str, eod: int, id
         if size:
             yield out("block", [block], pa.nulls(1, pa.int64()), [np.concatenate(waiting).tobytes()])
 
-    rows = order.mapInArrow(run, "file string, kind string, number long, doc_id long, ids binary")
+    rows = arrow_map(order, run, "file string, kind string, number long, doc_id long, ids binary")
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-stream-{uuid.uuid4().hex}"
     rows.write.option("compression", "zstd").parquet(path)
     return path
