@@ -121,22 +121,19 @@ def _near(text: Column, spans: Column, reach: int) -> Column:
     )
 
 
-def disclosing_terms(mentions: DataFrame, docs: DataFrame, text_col: str, disclosure: float, support: int, broadcast_terms: int) -> DataFrame:
+def disclosing_terms(mentions: DataFrame, docs: DataFrame, text_col: str, disclosure: float, support: int) -> DataFrame:
     """(entity, term) where the term discloses the entity.
 
     mentions: doc_id, h, entity, term. With n documents, n_e of an entity, n_t of a term and n_et of
     both near each other, the term discloses log2(n n_et / (n_e n_t)) / log2(n / n_e) of the entity.
-    Pairs of fewer than `support` documents tell nothing yet. Term counts come from all documents: the
-    terms in question are broadcast up to broadcast_terms, and beyond that all terms are counted, joined after.
+    Pairs of fewer than `support` documents tell nothing yet. Term counts come from all documents: every
+    word is counted, partially in each task, and only the counts are joined with the pairs.
     """
     n = docs.count()
     by_entity = mentions.select("doc_id", "h", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     pairs = mentions.where("term IS NOT NULL").select("doc_id", "h", "entity", "term").distinct()
     pairs = cut(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support))
-    asked = cut(pairs.select("term").distinct())
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text_col)), NOT_TERM))).alias("word")).where("length(word) >= 4")
-    if asked.count() <= broadcast_terms:
-        words = words.join(F.broadcast(asked), F.col("word") == F.col("term")).select("word")
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n_t"))
     known = pairs.join(counts, F.col("term") == F.col("word")).join(by_entity, "entity")
     share = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log2(F.lit(float(n)) / F.col("n_e"))
@@ -148,7 +145,6 @@ def find_private(
     disclosure: float = 0.9,
     support: int = 3,
     reach: int = 80,
-    broadcast_terms: int = 500_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -171,7 +167,7 @@ def find_private(
     entity = F.xxhash64("s.kind", F.lower("s.value"))
     terms = mentions.select("doc_id", "h", entity.alias("entity"), F.explode_outer("s.near").alias("t"))
     terms = terms.select("doc_id", "h", "entity", F.col("t.value").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
-    told = cut(disclosing_terms(terms, docs, text_col, disclosure, support, broadcast_terms))
+    told = cut(disclosing_terms(terms, docs, text_col, disclosure, support))
     hits = terms.join(told, ["entity", "term"]).groupBy("doc_id", "h").agg(
         F.array_sort(F.collect_set(F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end"))).alias("more")
     )
