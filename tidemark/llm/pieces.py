@@ -35,7 +35,7 @@ class Pieces:
     #: What an unknown character costs beside the least score of a piece.
     UNKNOWN_PENALTY = 10.0
 
-    def __init__(self, model: bytes, cache_size: int = 600_000):
+    def __init__(self, model: bytes, cache_size: int = 200_000):
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         ids = range(sp.vocab_size())
         names = [sp.id_to_piece(i) for i in ids]
