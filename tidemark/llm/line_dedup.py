@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,18 +179,15 @@ def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 25
     """(a, b): links of distinct lines within `edits` edits that join all lines which such links join.
 
     A line is named by its XXH64. Lines shorter than `least` characters are left out. Buckets of a key
-    are searched in groups of at most about 2 * block lines, however many lines share a segment. The ids
-    of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
+    are searched in groups of at most about 2 * block lines, however many lines share a segment. Keys that
+    lines share and ids of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
     """
     keys = arrow_map(docs.select(F.col(text_col)), _segments(edits, least), "key long, id long, role byte")
-    same = Window.partitionBy("key")
-    keys = keys.select(
-        "*",
-        F.min("id").over(same).alias("lo"),
-        F.max("id").over(same).alias("hi"),
-        F.max(F.col("role").bitwiseAND(INDEX)).over(same).alias("indexed"),
-    )
-    keys = cut(keys.where("lo <> hi AND indexed > 0").select("key", "id", "role").distinct())
+    # Sums by key are made partially in each task, so no task gathers the rows of a key that very many lines share.
+    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("role").bitwiseAND(INDEX)).alias("indexed"))
+    shared = cut(shared.where("lo <> hi AND indexed > 0").select("key"))
+    few = shared.count() <= broadcast_ids
+    keys = cut(keys.join(F.broadcast(shared) if few else shared, "key", "left_semi").distinct())
     ids = cut(keys.select("id").distinct().withColumnRenamed("id", "wanted"))
     few = ids.count() <= broadcast_ids
     lines = _lines(docs, id_col, text_col, least).join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted"))
