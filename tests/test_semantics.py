@@ -144,6 +144,18 @@ def test_trees(spark, wh):
     assert hierarchy.levels(loop).count() == 0
 
 
+def test_deep_trees_are_not_cut_and_cycles_end(spark, wh):
+    n = 56
+    chain = [(i, f"p{i:02}", "human", i - 1 if i else None, None, None) for i in range(n)]
+    # 900 and 901 report to each other, 902 to one of them, 903 to itself.
+    loops = [(i, f"p{i}", "human", boss, None, None) for i, boss in ((900, 901), (901, 900), (902, 900), (903, 903))]
+    people = spark.createDataFrame(chain + loops, PEOPLE).coalesce(1)
+    assert {r.id: r.level for r in hierarchy.levels(people).collect()} == {i: i for i in range(n)}
+    pairs = {(r.descendant, r.ancestor) for r in hierarchy.closure(people).collect()}
+    want = {(i, j) for i in range(n) for j in range(i)}
+    assert pairs == want | {(900, 901), (900, 900), (901, 900), (901, 901), (902, 900), (902, 901), (903, 903)}
+
+
 def test_status_ladder(spark, wh):
     at = "2001-07-1{}T{:02d}:00:00"
     rows = [

@@ -4,30 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: What SQL has to be given as the most levels. A tree that is deeper fails there; it is never cut.
+LEVELS = 1_000_000
 
-def closure(nodes: DataFrame, depth: int = 50) -> DataFrame:
-    """(descendant, ancestor, distance >= 1) of an adjacency list (id, reports_to); depth also ends cycles."""
+
+def closure(nodes: DataFrame, depth: int | None = None) -> DataFrame:
+    """(descendant, ancestor, distance >= 1) of an adjacency list (id, reports_to), however deep it is.
+
+    A way up ends where it comes to a node for the second time, so cycles end. Only where depth is given
+    are ways cut, at that distance, and cycles are followed up to it.
+    """
+    goes_on = "NOT array_contains(up.trail, up.ancestor)" if depth is None else f"up.distance < {depth}"
     return nodes.sparkSession.sql(
-        f"""WITH RECURSIVE up(descendant, ancestor, distance) MAX RECURSION LEVEL {depth + 2} AS (
-              SELECT id, reports_to, 1 FROM {{nodes}} WHERE reports_to IS NOT NULL
+        f"""WITH RECURSIVE up(descendant, ancestor, distance, trail) MAX RECURSION LEVEL {LEVELS if depth is None else depth + 2} AS (
+              SELECT id, reports_to, 1, array(id) FROM {{nodes}} WHERE reports_to IS NOT NULL
               UNION ALL
-              SELECT up.descendant, n.reports_to, up.distance + 1
+              SELECT up.descendant, n.reports_to, up.distance + 1, array_append(up.trail, up.ancestor)
               FROM up JOIN {{nodes}} n ON n.id = up.ancestor
-              WHERE n.reports_to IS NOT NULL AND up.distance < {depth}
+              WHERE n.reports_to IS NOT NULL AND {goes_on}
             )
             SELECT up.descendant, up.ancestor, up.distance FROM up JOIN {{nodes}} a ON a.id = up.ancestor""",
         nodes=nodes.select("id", "reports_to"),
     )
 
 
-def levels(nodes: DataFrame, depth: int = 50) -> DataFrame:
-    """(id, level, path) from the roots down. Nodes whose parent doesn't exist are in no tree and are left out."""
+def levels(nodes: DataFrame, depth: int | None = None) -> DataFrame:
+    """(id, level, path) from the roots down, to the last level or to depth. Nodes whose parent doesn't exist are in no tree and are left out.
+
+    A node that is its own ancestor (ids may repeat) is not entered again.
+    """
+    goes_on = "NOT array_contains(down.trail, n.id)" if depth is None else f"down.level < {depth}"
     return nodes.sparkSession.sql(
-        f"""WITH RECURSIVE down(id, level, path) MAX RECURSION LEVEL {depth + 2} AS (
-              SELECT id, 0, CAST(id AS STRING) FROM {{nodes}} WHERE reports_to IS NULL
+        f"""WITH RECURSIVE down(id, level, path, trail) MAX RECURSION LEVEL {LEVELS if depth is None else depth + 2} AS (
+              SELECT id, 0, CAST(id AS STRING), array(id) FROM {{nodes}} WHERE reports_to IS NULL
               UNION ALL
-              SELECT n.id, down.level + 1, concat(down.path, '/', n.id)
-              FROM down JOIN {{nodes}} n ON n.reports_to = down.id WHERE down.level < {depth}
+              SELECT n.id, down.level + 1, concat(down.path, '/', n.id), array_append(down.trail, n.id)
+              FROM down JOIN {{nodes}} n ON n.reports_to = down.id WHERE {goes_on}
             ) SELECT id, level, path FROM down""",
         nodes=nodes.select("id", "reports_to"),
     )
