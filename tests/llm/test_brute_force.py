@@ -362,6 +362,25 @@ def test_pieces_round_trip_and_best_score(docs):
     assert multiset((r.doc_id, r.text) for r in back.collect()) == multiset(texts_of(docs))
 
 
+def test_pieces_of_a_bpe_model_are_the_librarys(docs):
+    import random
+
+    import sentencepiece
+
+    model = queries.vocabulary("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    assert library.encode("to the") != pieces.Pieces(model).encode("to the")
+    for r in pieces.encode_pieces(docs, model).collect():
+        if pieces.SPACE not in (r.text or ""):
+            assert r.pieces == (None if r.text is None else library.encode(r.text))
+    own, r = pieces.pieces_of(model), random.Random(11)
+    for text in ("", " ", "\n\n", "日本\x00語🙂", "word." * 50, "a" * 3000, "Benchmark decontamination of training data"):
+        assert own.encode(text) == library.encode(text)
+    for _ in range(3000):
+        text = "".join(r.choice("aeiostnr  .,\nTHé語🙂1") for _ in range(r.randrange(30)))
+        assert own.encode(text) == library.encode(text)
+
+
 def test_token_counts(docs):
     import base64
 

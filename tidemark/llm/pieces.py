@@ -1,14 +1,16 @@
-"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a Viterbi.
+"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a Viterbi or merges.
 
-The automaton reads a text once. At each position its output links list the pieces that end there,
-and each of them relaxes the best score of the position from the best score where the piece starts.
-The scores of the model file are taken as the log-scores of a unigram model, whatever trained them.
+The automaton reads a text once. In a unigram model its output links list the pieces that end at each
+position, and each of them relaxes the best score of the position from the best score where the piece
+starts. In a BPE model the scores are merge ranks and can't be added: there the automaton finds the
+pieces that a text holds, and neighbours that make one of them are merged by rank.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import ahocorasick
@@ -97,10 +99,14 @@ class Pieces:
             if value and best[last + 1 - value[0]] + value[1] > best[last + 1]:
                 best[last + 1], back[last + 1] = best[last + 1 - value[0]] + value[1], value
 
+    def segment(self, text: str) -> tuple[int, ...]:
+        """Ids of an escaped text by the model's own rule."""
+        return self.viterbi(text)
+
     def chunk(self, text: str) -> tuple[int, ...]:
         got = self.cache.get(text)
         if got is None:
-            got = self.viterbi(text)
+            got = self.segment(text)
             if len(text) <= 48:
                 if len(self.cache) >= self.cache_size:
                     self.cache.clear()
@@ -125,7 +131,7 @@ class Pieces:
         if not text:
             return []
         if not self.cuttable:
-            return list(self.viterbi(text.replace(" ", SPACE)))
+            return list(self.segment(text.replace(" ", SPACE)))
         out: list[int] = []
         get, more, make = self.cache.get, out.extend, self.chunk
         for c in _CHUNK.findall(text.replace(" ", SPACE)):
@@ -138,12 +144,98 @@ class Pieces:
         return text[1:] if text[:1] == " " else text
 
 
+class MergedPieces(Pieces):
+    """The pieces of a BPE model: ids are those of the library, except that a literal U+2581 goes by its bytes."""
+
+    def __init__(self, model: bytes, cache_size: int = 200_000):
+        super().__init__(model, cache_size)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+        if any(sp.is_unused(i) for i in range(sp.vocab_size())) or 4 in piece_types(model):
+            raise ValueError("BPE models with unused or user-defined pieces are not supported")
+
+    def segment(self, text: str) -> tuple[int, ...]:
+        """Ids after merging, again and again, the neighbours whose piece has the best score; of equal ones the leftmost."""
+        n = len(text)
+        # at[start, end]: score and id of the pieces that the text holds; only these can come of a merge.
+        at: dict[tuple[int, int], tuple[float, int]] = {
+            (last + 1 - size, last + 1): (score, piece) for last, (size, score, piece) in self.automaton.iter(text)
+        }
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(-at[i, i + 2][0], i, i + 1, i + 2) for i in range(n - 1) if (i, i + 2) in at]
+        heapify(heap)
+        while heap:
+            _, left, mid, right = heappop(heap)
+            if end[left] != mid or end[mid] != right:
+                continue
+            end[left], end[mid] = right, 0  # 0: merged away
+            if right < n:
+                before[right] = left
+                if new := at.get((left, end[right])):
+                    heappush(heap, (-new[0], left, right, end[right]))
+            first = before[left]
+            if first >= 0 and (new := at.get((first, right))):
+                heappush(heap, (-new[0], first, left, right))
+        out: list[int] = []
+        i = 0
+        while i < n:
+            if found := at.get((i, end[i])):
+                out.append(found[1])
+            elif self.bytes:
+                out += [self.bytes[b] for b in text[i].encode()]
+            elif not out or out[-1] != self.unk:
+                out.append(self.unk)
+            i = end[i]
+        return tuple(out)
+
+
+def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a protobuf message; values of fixed size as bytes."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        x = shift = 0
+        while True:
+            b = message[at]
+            at += 1
+            x |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                return x
+
+    while at < len(message):
+        tag = varint()
+        kind = tag & 7
+        if kind == 0:
+            yield tag >> 3, varint()
+            continue
+        size = varint() if kind == 2 else {1: 8, 5: 4}[kind]
+        yield tag >> 3, message[at : at + size]
+        at += size
+
+
+def piece_types(model: bytes) -> set[int]:
+    """The types of a model's pieces; 1 (normal) is the one that the file leaves out."""
+    return {dict(_fields(x)).get(3, 1) for number, x in _fields(model) if number == 1}
+
+
+def is_bpe(model: bytes) -> bool:
+    """Whether the trainer's model_type (field 3 of field 2) is BPE, 2; unigram, 1, is the default."""
+    return any(number == 2 and dict(_fields(x)).get(3, 1) == 2 for number, x in _fields(model))
+
+
+def pieces_of(model: bytes) -> Pieces:
+    """The encoder of a model file: merges by rank if it is BPE, else the Viterbi."""
+    return MergedPieces(model) if is_bpe(model) else Pieces(model)
+
+
 def encode_pieces(docs: DataFrame, model: bytes, text_col: str = "text", check: bool = True) -> DataFrame:
     """docs with pieces (array of ids), n_pieces, n_byte_pieces and, if check, exact (decoding gives the text).
 
     model: the bytes of a sentencepiece model file. One map over the rows: nothing is shuffled or
     dropped. A null text has null pieces, no counts and exact null; an empty one has no pieces and is
-    exact. Repeated rows get the same ids. A text without spaces is one Viterbi pass over its length.
+    exact. Repeated rows get the same ids. A text without spaces is one pass over its length, with a heap
+    of merges if the model is BPE.
     Segmentations of short chunks are kept in a table of bounded size for each worker. Columns of docs
     named like a result column, in any case, give way to it.
     """
@@ -197,5 +289,5 @@ def loaded(shared) -> Pieces:
     key = hash(shared.value)
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Pieces(shared.value)
+        _LOADED[key] = pieces_of(shared.value)
     return _LOADED[key]
