@@ -255,6 +255,24 @@ def test_novelty_finds_random_strings_in_sensitive_context_only():
     assert secret_scan.redact("my password=abcdef1 ok", secret_scan.find_secrets("my password=abcdef1 ok")) == "my [assign] ok"
 
 
+def test_whole_secrets_go():
+    import base64
+    import random
+
+    r = random.Random(21)
+    noise = lambda n: base64.b64encode(r.randbytes(n)).decode()
+    jwt = lambda n: base64.urlsafe_b64encode(r.randbytes(n)).decode().rstrip("=")
+    long, dotted = noise(1200), f"{jwt(30)}.{jwt(60)}.{jwt(32)}"
+    body = "\n".join([noise(48) for _ in range(12)] + [noise(4)])
+    for text, secret in (
+        (f'private_key = "{long}" # end', long),
+        (f"Authorization: Bearer {dotted} sent", dotted),
+        (f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----\n", body),
+        (f"-----BEGIN PRIVATE KEY-----\n{body}", body),
+    ):
+        assert secret_scan.redact(text, secret_scan.find_secrets(text)) == text.replace(secret, "[novel]")
+
+
 def test_private_data(docs):
     kinds = private_data.KINDS[:4]
     got = private_data.find_private(docs).collect()

@@ -30,7 +30,11 @@ _HEX = re.compile(r"[0-9a-f]{24,}")  # the runs [0-9a-f]+ of 24 characters or mo
 #: Words that make what follows them sensitive, and the candidates themselves.
 _SENSITIVE = re.compile(r"key|secret|token|passw|pwd|auth|credential|private|bearer|signature|certificate", re.ASCII | re.IGNORECASE)
 _SENSITIVE_HINTS = ("key", "secret", "token", "passw", "pwd", "auth", "credential", "private", "bearer", "signature", "certificate")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,512}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}(?:\.[A-Za-z0-9+/_=-]+)*")
+_LAST_PART = re.compile(r"[A-Za-z0-9+/_=-]+\Z")
+#: A PEM header makes all up to its END line one candidate; without an END, the base64 lines after it.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----\s*")
+_PEM_LINES = re.compile(r"[A-Za-z0-9+/=]+(?:\r?\n[A-Za-z0-9+/=]+)*")
 
 #: Identifiers and phrases of ordinary code and configuration; the compressor starts from them.
 IDENTIFIERS = """
@@ -72,6 +76,31 @@ def novelty(before: str, candidate: str, after: str) -> float:
     return (len(compress(around + b"\n" + candidate.encode())) - len(compress(around))) / max(1, len(candidate))
 
 
+def _novel(text: str, s: int, e: int, window: int, least: float, step: int = 128) -> bool:
+    """Whether text[s:e] is novel in the mean of its slices; a long token's alphabet would be learnt if it were taken whole."""
+    cost = 0.0
+    for at in range(s, e, step):
+        end = min(e, at + step)
+        cost += (end - at) * novelty(text[max(0, at - window) : at], text[at:end], text[e : e + window])
+    return cost >= least * (e - s)
+
+
+def _pem_bodies(text: str) -> Iterator[tuple[int, int]]:
+    closed = "-----END" in text
+    at = 0
+    while m := _PEM.search(text, at):
+        at = s = m.end()
+        e = text.find("-----END", s) if closed else -1
+        closed = e >= 0
+        if e < 0:
+            lines = _PEM_LINES.match(text, s)
+            e = lines.end() if lines else s
+        e = s + len(text[s:e].rstrip())
+        if s < e and _SENSITIVE.search(m[1]):
+            at = e
+            yield s, e
+
+
 def _mixed(token: str) -> bool:
     kinds = bool(re.search("[a-z]", token)) + bool(re.search("[A-Z]", token)) + bool(re.search("[0-9]", token))
     return kinds >= 2 and bool(re.search("[0-9]", token))
@@ -81,9 +110,10 @@ def find_secrets(text: str, least_novelty: float = 0.75, context: int = 48, wind
     """(kind, start, end) in code points, end exclusive, ordered by start and kind.
 
     assign, access and hex are the leftmost non-overlapping matches of their patterns; a match that is
-    too short is dropped. A novel span is a candidate with a sensitive word in the `context` characters
-    before it, on its line, that no base span touches and whose novelty reaches least_novelty; `window`
-    characters on each side are the surroundings.
+    too short is dropped. A novel span is a candidate that starts in the `context` characters after a
+    sensitive word, on its line, that no base span touches and whose novelty reaches least_novelty;
+    `window` characters on each side are the surroundings. It runs to the end of its token and of the
+    dotted parts that adjoin it, however long. The body of a PEM block is one candidate, touched or not.
     """
     spans: list[tuple[int, int, int]] = []
     low = text.lower()
@@ -93,6 +123,9 @@ def find_secrets(text: str, least_novelty: float = 0.75, context: int = 48, wind
         spans += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     if any(h in low for h in _SENSITIVE_HINTS):
+        for s, e in _pem_bodies(text):
+            if _mixed(text[s:e]) and _novel(text, s, e, window, least_novelty):
+                spans.append((s, 3, e))
         base = sorted(spans)
         # Candidates start within reach of a sensitive word, so only what follows one is looked at.
         seen = 0
@@ -100,12 +133,17 @@ def find_secrets(text: str, least_novelty: float = 0.75, context: int = 48, wind
             line_end = text.find("\n", hint.end())
             stop = min(hint.end() + context, len(text) if line_end < 0 else line_end)
             at = max(seen, hint.end())
-            while at <= stop and (m := _CANDIDATE.search(text, at, min(len(text), stop + 512))) and m.start() <= stop:
+            while at <= stop and (m := _CANDIDATE.search(text, at, len(text) if line_end < 0 else line_end)) and m.start() <= stop:
                 s, e = m.span()
+                while s - 1 > at and text[s - 1] == ".":  # shorter parts before it
+                    part = _LAST_PART.search(text[max(at, s - 1 - 15) : s - 1])
+                    if not part:
+                        break
+                    s -= 1 + len(part[0])
                 at = seen = e
-                if not _mixed(m[0]) or any(a < e and s < b for a, _, b in base):
+                if not _mixed(text[s:e]) or any(a < e and s < b for a, _, b in base):
                     continue
-                if novelty(text[max(0, s - window) : s], m[0], text[e : e + window]) >= least_novelty:
+                if _novel(text, s, e, window, least_novelty):
                     spans.append((s, 3, e))
     return [(KINDS[k], s, e) for s, k, e in sorted(spans)]
 
