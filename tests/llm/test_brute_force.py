@@ -345,6 +345,13 @@ def test_line_dedup(docs):
         assert multiset((r.doc_id, r.text) for r in got) == multiset(want)
 
 
+def test_exact_copies_of_short_lines_go(spark):
+    rows = [(1, "read more\n--\nshort line one"), (2, "read more\n--\nshort line two\nread more"), (None, "read more"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_dropped, r.n_near) for r in line_dedup.dedup_lines(docs, 2, 40, short=True).collect()}
+    assert got == {1: (rows[0][1], 0, 0), 2: ("--\nshort line two", 2, 0), None: ("", 1, 0), 4: (None, 0, 0)}
+
+
 def test_pieces_round_trip_and_best_score(docs):
     model = queries.vocabulary("piece_bpe_32k.model")
     own = pieces.Pieces(model)

@@ -169,10 +169,13 @@ def spanning_links(lines: list[tuple[int, int, str]], edits: int) -> list[tuple[
     return out
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
+def _lines(docs: DataFrame, id_col: str, text_col: str, least: int, short: bool = False) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("h"), F.posexplode(F.split(text, "\n")).alias("nth", "line"))
-    return rows.where(F.length("line") >= least).withColumn("id", F.xxhash64("line"))
+    wanted = F.length("line") >= least
+    if short:
+        wanted = wanted | F.col("line").rlike(r"[\p{L}\p{N}]")
+    return rows.where(wanted).withColumn("id", F.xxhash64("line"))
 
 
 def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 256, broadcast_ids: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,15 +200,16 @@ def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 25
     return arrow_map(groups.select("lines"), _verify(edits), "a long, b long")
 
 
-def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str = "doc_id", text_col: str = "text", short: bool = False, **options) -> DataFrame:
     """(doc_id, h, lines, n_near): the line numbers to drop of every document that has some.
 
     Lines that are equal or joined by links make a class; its first line by doc_id (null last) and line
-    number stays, and all others go. n_near counts those that differ from the one that stays. h is the
+    number stays, and all others go. short: shorter lines with a letter or digit are grouped too, by
+    equality alone. n_near counts those that differ from the one that stays. h is the
     key of the text; rows alike in id and text stand for one document.
     """
     classes = cut(connected_components(line_links(docs, edits, least, id_col=id_col, text_col=text_col, **options)))
-    rows = _lines(docs, id_col, text_col, least).drop("line")
+    rows = _lines(docs, id_col, text_col, least, short).drop("line")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "nth", "id")
     firsts = rows.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     known = firsts.join(classes, F.col("id") == F.col("node"), "left").where("n > 1 OR node IS NOT NULL")
@@ -245,7 +249,8 @@ def _without(text_col: str):
 def dedup_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs with the repeated lines cut out of the text, and n_lines, n_dropped and n_near.
 
-    Lines end at \\n. Lines of less than `least` characters always stay. No row goes: a document whose
+    Lines end at \\n. Lines of less than `least` characters are never near others; exact copies of them
+    stay too, unless short is given, and then go if they hold a letter or digit. No row goes: a document whose
     lines all stand elsewhere is left with an empty text. Null texts stay null and have no lines; null
     ids come last in the order of documents; rows alike in id and text lose the same lines. Columns of
     docs named like a result column, in any case, give way to it.

@@ -97,7 +97,7 @@ def op4_pieces(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2, least=40)
+    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), edits=2, least=40, short=True)
     return found.select("doc_id", "n_lines", "n_dropped", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
