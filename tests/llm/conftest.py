@@ -39,7 +39,7 @@ def edge_rows() -> list[tuple]:
 def edges(spark):
     df = spark.createDataFrame(edge_rows(), "doc_id long, text string, lang string, source string, n_chars long")
     # Columns whose names clash with what operators make on the way.
-    for c in ("h", "N_words", "kept", "spans", "items", "key", "label", "at", "pieces", "secrets"):
+    for c in ("h", "N_words", "kept", "spans", "items", "key", "label", "at", "pieces", "secrets", "gone_id", "gone_h", "lines_gone", "of", "oh", "private_spans", "r", "row_key", "d", "own_r", "p", "q", "line", "nth", "id"):
         df = df.withColumn(c, F.lit("mine"))
     return df.repartition(3)
 

@@ -60,6 +60,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def modest(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """df for a join: broadcast if it was counted to have at most so many rows, else as it is. df: short rows, checkpointed."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once for a context, as --py-files would."""
     sc, package = spark.sparkContext, Path(__file__).resolve().parent.parent

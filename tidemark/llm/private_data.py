@@ -1,17 +1,23 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of the terms around them.
 
-The patterns find the protected entities. A term near an entity discloses it as far as seeing the term
-tells of the entity: their pointwise mutual information in the corpus, as a share of all the entity's
-information. Terms over the threshold are reported as spans and generalised with the entities.
-Everything is DataFrame functions; offsets come from the lengths of matches and of the gaps between.
+The patterns find the protected entities. How strongly a term reveals an entity is estimated from
+their co-occurrence in the corpus: the pointwise mutual information of both against all the
+information that the entity has. Terms that leave less than a threshold of it open are reported
+wherever they stand, and generalised with the entities.
+
+Everything is DataFrame functions. Offsets are running sums of the lengths of matches and of the gaps
+between, made in log2(n) rounds over an array of n matches; terms meet entities by an equality join on
+stretches of the text. So the work on a text grows with its length, however dense its matches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, text_key
+from .common import cut, free_name, modest, text_key
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -22,36 +28,47 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"\p{L}{4,}+"
+#: A term is a run of four letters or more; in other words, a word of this length between non-letters.
+TERM, TERM_LETTERS = r"\p{L}{4,}+", 4
 NOT_TERM = r"[^\p{L}]+"
 
+_SPANS = "CAST(array() AS array<struct<kind:int,start:int,end:int,value:string>>)"
+_PLACES = "CAST(array() AS array<struct<start:int,end:int,value:string>>)"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), value being computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running results of an associative function over an array, by doubling: log2(n) passes over it."""
+    powers = F.array(*[F.lit(1 << k) for k in range(31)])
+
+    def over(given: Column) -> Column:
+        return F.aggregate(
+            F.filter(powers, lambda p: p < F.size(given)),
+            given,
+            lambda acc, p: F.transform(acc, lambda x, i: F.when(i < p, x).otherwise(join(F.get(acc, i - p), x))),
+        )
+
+    return let(values, over)
+
 
 def located(text: Column, pattern: str) -> Column:
     """Array of (start, end, value) of the pattern's matches, in code points from 0, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), F.length)
-    # Each gap but the last is followed by a match.
-    steps = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    empty = "CAST(array() AS array<struct<start:int,end:int,value:string>>)"
-    walked = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), F.expr(empty).alias("out")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + F.length(s["value"])).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + s["gap"]).alias("start"),
-                        (acc["at"] + s["gap"] + F.length(s["value"])).alias("end"),
-                        s["value"].alias("value"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.size(found) > 0, walked).otherwise(F.expr(empty))
+
+    def placed(v: Column) -> Column:
+        # Each gap but the last is followed by a match.
+        steps = F.zip_with(F.slice(v["gaps"], 1, F.size(v["found"])), v["found"], lambda g, x: g + F.length(x))
+        ends = running(steps, lambda a, b: a + b)
+        return F.zip_with(
+            ends, v["found"], lambda e, x: F.struct((e - F.length(x)).alias("start"), e.alias("end"), x.alias("value"))
+        )
+
+    return let(F.struct(found.alias("found"), gaps.alias("gaps")), placed)
 
 
 def _digits(value: Column) -> Column:
@@ -80,7 +97,7 @@ def _is_phone(value: Column) -> Column:
 
 def base_spans(text: Column) -> Column:
     """Array of (kind, start, end, value) of the base kinds, by kind as listed and then start. kind is its number in KINDS."""
-    none = F.expr("CAST(array() AS array<struct<start:int,end:int,value:string>>)")
+    none = F.expr(_PLACES)
     each = (
         (F.when(F.contains(text, F.lit("@")), located(text, EMAIL)).otherwise(none), None),
         (F.when(text.rlike(r"[0-9]\.[0-9]"), located(text, IP)).otherwise(none), _is_ip),
@@ -97,109 +114,200 @@ def _of_kind(kind: int, spans: Column, holds) -> Column:
     )
 
 
-def _near(text: Column, spans: Column, reach: int) -> Column:
-    """For each span the whole terms within reach characters of it, outside of all spans."""
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(r, h, text): two 64-bit keys, of id and text and of the text alone, name a document. Null is empty."""
+    r, h = _keys(id_col, text_col)
+    return docs.select(r.alias("r"), h.alias("h"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
-    def around(s: Column) -> Column:
-        begin = F.greatest(s["start"] - reach, F.lit(0))
-        stop = F.least(s["end"] + reach, F.length(text))
-        words = located(F.lower(F.substring(text, begin + 1, stop - begin)), TERM)
-        return F.filter(
-            F.transform(
-                words, lambda w: F.struct((w["start"] + begin).alias("start"), (w["end"] + begin).alias("end"), w["value"].alias("value"))
-            ),
-            lambda w: ((w["start"] > begin) | (begin == 0))
-            & ((w["end"] < stop) | (stop == F.length(text)))
-            & ~F.exists(spans, lambda o: (o["start"] < w["end"]) & (w["start"] < o["end"])),
-        )
 
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), around(s).alias("near")
-        ),
-    )
+def _keys(id_col: str, text_col: str) -> tuple[Column, Column]:
+    i, h = F.col(f"`{id_col}`"), text_key(F.col(f"`{text_col}`"))
+    return F.xxhash64(i, i.isNull(), h), h
+
 
+def _terms(rows: DataFrame) -> DataFrame:
+    """(r, h, start, end, term) of all terms of the rows' texts, once for repeated rows."""
+    words = rows.select("r", "h", F.explode(located(F.col("text"), TERM)).alias("w"))
+    words = words.select("r", "h", F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.lower("w.value").alias("term"))
+    return words.dropDuplicates(["r", "h", "start"])
 
-def disclosing_terms(mentions: DataFrame, docs: DataFrame, text_col: str, disclosure: float, support: int) -> DataFrame:
-    """(entity, term) where the term discloses the entity.
 
-    mentions: doc_id, h, entity, term. With n documents, n_e of an entity, n_t of a term and n_et of
-    both near each other, the term discloses log2(n n_et / (n_e n_t)) / log2(n / n_e) of the entity.
-    Pairs of fewer than `support` documents tell nothing yet. Term counts come from all documents: every
-    word is counted, partially in each task, and only the counts are joined with the pairs.
+def _stretches(start: Column, end: Column, width: int) -> Column:
+    return F.explode(F.sequence(F.floor(start / width), F.floor(end / width))).alias("stretch")
+
+
+def _outside(words: DataFrame, mentions: DataFrame, width: int) -> DataFrame:
+    """The words that overlap no base span."""
+    w = words.select("r", "h", "start", "end", _stretches(F.col("start"), F.col("end") - 1, width))
+    s = mentions.select("r", "h", F.col("start").alias("s"), F.col("end").alias("e"), _stretches(F.col("start"), F.col("end") - 1, width))
+    inside = w.join(s, ["r", "h", "stretch"]).where("s < end AND start < e").select("r", "h", "start").distinct()
+    return words.join(inside, ["r", "h", "start"], "left_anti")
+
+
+def term_counts(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(term, n_t): the documents that have a term. Rows repeated in id and text are one document.
+
+    Every row's terms are counted, partially in each task; what repeated rows count too much is
+    taken off again, so that texts are not shuffled to find the repeats.
     """
-    n = docs.count()
-    by_entity = mentions.select("doc_id", "h", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = mentions.where("term IS NOT NULL").select("doc_id", "h", "entity", "term").distinct()
-    pairs = cut(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support))
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text_col)), NOT_TERM))).alias("word")).where("length(word) >= 4")
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n_t"))
-    known = pairs.join(counts, F.col("term") == F.col("word")).join(by_entity, "entity")
-    share = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log2(F.lit(float(n)) / F.col("n_e"))
-    return known.where((F.col("n_e") < n) & (share >= disclosure)).select("entity", "term")
-
-
-def find_private(
-    docs: DataFrame,
-    disclosure: float = 0.9,
-    support: int = 3,
-    reach: int = 80,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+
+    def of(df: DataFrame, weight: Column) -> DataFrame:
+        words = F.filter(F.split("text", NOT_TERM), lambda w: F.length(w) >= TERM_LETTERS)
+        return df.select(F.explode(F.array_distinct(F.transform(words, F.lower))).alias("term"), weight.cast("long").alias("n"))
+
+    counted = of(rows, F.lit(1))
+    again = cut(found.groupBy("r", "h").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
+    if not again.isEmpty():
+        repeated = rows.join(modest(again), ["r", "h"]).dropDuplicates(["r", "h"])
+        counted = counted.unionByName(of(repeated, 1 - F.col("times")))
+    return counted.groupBy("term").agg(F.sum("n").alias("n_t"))
+
+
+def disclosing_terms(
+    rows: DataFrame, found: DataFrame, disclosure: float = 0.9, residual: float = 0.75, prior: float = 1.0, reach: int = 80
 ) -> DataFrame:
-    """(doc_id, h, spans) of every row of docs; spans is an array of (kind, start, end), by kind and start.
+    """(entity, term, ic, pmi) where the term discloses the entity. Documents are the distinct (r, h).
+
+    rows: r, h, text; found: r, h, spans. With n documents, n_e of an entity, n_t of a term and n_et that
+    have both within `reach` characters, the entity's information is ic = log2(n / n_e) and the term's
+    share in it pmi = log2(n n_et / (n_e (n_t + prior))). The term discloses the entity if pmi is at least
+    `disclosure` of ic and leaves at most `residual` bits open. The prior stands for documents not seen: a
+    pair found in one document alone leaves a whole bit open, one of two documents 0.58 bits. Entities
+    of fewer documents than that can have no such term and aren't looked at further.
+    """
+    share = 2.0**-residual
+    least = prior * share / (1 - share) if share < 1 else float("inf")
+    spans = found.where(F.size("spans") > 0).dropDuplicates(["r", "h"]).select("r", "h", F.explode("spans").alias("s"))
+    entity = F.xxhash64("s.kind", F.lower("s.value")).alias("entity")
+    mentions = cut(spans.select("r", "h", entity, F.col("s.start").alias("start"), F.col("s.end").alias("end")))
+    by_entity = mentions.select("r", "h", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    by_entity = cut(by_entity.where(F.col("n_e") >= least))
+    empty = rows.sparkSession.createDataFrame([], "entity long, term string, ic double, pmi double")
+    if by_entity.isEmpty():
+        return empty
+    n = found.select("r", "h").distinct().count()
+    own = cut(mentions.join(modest(by_entity.select("entity")), "entity", "left_semi"))
+    words = _terms(rows.join(modest(cut(own.select("r", "h").distinct())), ["r", "h"], "left_semi"))
+    s = own.select("r", "h", "entity", F.col("start").alias("s"), F.col("end").alias("e"), _stretches(F.col("start") - reach, F.col("end") + reach, reach))
+    w = words.withColumn("stretch", F.floor(F.col("start") / reach))
+    near = w.join(s, ["r", "h", "stretch"]).where((F.col("start") >= F.col("s") - reach) & (F.col("end") <= F.col("e") + reach))
+    near = cut(near.select("r", "h", "start", "end", "term", "entity"))
+    pairs = _outside(near, mentions, reach).select("r", "h", "entity", "term").distinct()
+    pairs = cut(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= least))
+    if pairs.isEmpty():
+        return empty
+    known = pairs.join(term_counts(rows, found), "term").join(modest(by_entity), "entity")
+    known = known.where(F.col("n_et") >= share * (F.col("n_t") + prior))
+    ic = F.log2(F.lit(float(n)) / F.col("n_e"))
+    pmi = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * (F.col("n_t") + prior)))
+    return known.select("entity", "term", ic.alias("ic"), pmi.alias("pmi")).where((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))
+
+
+def term_spans(docs: DataFrame, id_col: str, text_col: str, reach: int = 80, **thresholds) -> DataFrame | None:
+    """(r, h, more): the places of disclosing terms, by start, of the documents that have some; None if no document has."""
+    rows = _rows(docs, id_col, text_col)
+    found = cut(rows.select("r", "h", base_spans(F.col("text")).alias("spans")))
+    told = cut(disclosing_terms(rows, found, reach=reach, **thresholds).select("term").distinct())
+    if told.isEmpty():
+        return None
+    words = F.filter(F.split("text", NOT_TERM), lambda w: F.length(w) >= TERM_LETTERS)
+    having = rows.select("r", "h", F.explode(F.array_distinct(F.transform(words, F.lower))).alias("term"))
+    having = cut(having.join(modest(told), "term", "left_semi").select("r", "h").distinct())
+    hits = _terms(rows.join(modest(having), ["r", "h"], "left_semi")).join(modest(told), "term", "left_semi")
+    mentions = found.join(modest(having), ["r", "h"], "left_semi").dropDuplicates(["r", "h"]).select("r", "h", F.explode("spans").alias("s"))
+    hits = _outside(cut(hits), mentions.select("r", "h", F.col("s.start").alias("start"), F.col("s.end").alias("end")), reach)
+    place = F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end")
+    return cut(hits.groupBy("r", "h").agg(F.array_sort(F.collect_list(place)).alias("more")))
+
+
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, **options) -> tuple[DataFrame, str]:
+    """docs with the spans of every row, and the name of their column."""
+    out, r, h, mine, more = docs, *(free_name(docs, x) for x in ("own_r", "own_h", "private_spans", "more_spans"))
+    base = F.transform(base_spans(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), lambda s: F.struct(s["kind"], s["start"], s["end"]))
+    hits = term_spans(docs, id_col, text_col, **options)
+    if hits is None:
+        return out.withColumn(mine, base), mine
+    keys = _keys(id_col, text_col)
+    hits = hits.toDF("hit_" + r, "hit_" + h, more)
+    same = (F.col(r) == F.col("hit_" + r)) & (F.col(h) == F.col("hit_" + h))
+    none = F.expr("CAST(array() AS array<struct<kind:int,start:int,end:int>>)")
+    out = out.withColumns({r: keys[0], h: keys[1], mine: base}).join(modest(hits), same, "left")
+    out = out.select(*[F.col(f"`{c}`") for c in docs.columns], F.concat(mine, F.coalesce(more, none)).alias(mine))
+    return out, mine
+
+
+def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(doc_id, spans) of every row of docs; spans is an array of (kind, start, end), by kind and start.
 
     kind is the number in KINDS. Base kinds are the leftmost non-overlapping matches of their patterns
     that hold (IP parts up to 255, cards of 16 to 19 digits with a right check digit, phones of 8 to 15
-    digits). term spans are the words of four letters or more within `reach` characters of an entity that
-    disclose it (disclosing_terms). h is the key of the text. A null or empty text has no spans; null
-    ids are allowed; repeated rows get the same spans and count as one document. Other columns are not
-    read.
+    digits). term spans are all places of the terms that disclose an entity (disclosing_terms() names the
+    options), in this document or another one, unless they overlap a base span. A null or empty text has
+    no spans; null ids are allowed; rows repeated in id and text get the same spans and count as one
+    document, and copies under other ids count as documents of their own. Other columns are not read.
     """
-    text = F.col("text")
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("h"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "h", "text", base_spans(text).alias("spans"))
-    none = "CAST(array() AS array<struct<kind:int,start:int,end:int,value:string,near:array<struct<start:int,end:int,value:string>>>>)"
-    near = F.when(F.size("spans") > 0, _near(text, F.col("spans"), reach)).otherwise(F.expr(none))
-    found = cut(rows.select("doc_id", "h", near.alias("spans")))
-    mentions = found.where(F.size("spans") > 0).select("doc_id", "h", F.explode("spans").alias("s"))
-    entity = F.xxhash64("s.kind", F.lower("s.value"))
-    terms = mentions.select("doc_id", "h", entity.alias("entity"), F.explode_outer("s.near").alias("t"))
-    terms = terms.select("doc_id", "h", "entity", F.col("t.value").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
-    told = cut(disclosing_terms(terms, docs, text_col, disclosure, support))
-    hits = terms.join(told, ["entity", "term"]).groupBy("doc_id", "h").agg(
-        F.array_sort(F.collect_set(F.struct(F.lit(KINDS.index("term")).alias("kind"), "start", "end"))).alias("more")
-    )
-    hits = hits.withColumnsRenamed({"doc_id": "of", "h": "oh"})
-    base = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    empty = F.expr("CAST(array() AS array<struct<kind:int,start:int,end:int>>)")
-    return found.join(hits, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("oh")), "left").select(
-        "doc_id", "h", F.concat(base, F.coalesce("more", empty)).alias("spans")
-    )
+    found, mine = _with_spans(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), "doc_id", "text", **options)
+    return found.select("doc_id", F.col(mine).alias("spans"))
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with `sanitised`: the text with every span generalised to its kind in brackets.
+def generalised(text: Column, spans: Column, block: int = 128) -> Column:
+    """The text with every span replaced by its kind in brackets; overlapping spans become one, named by the first.
 
-    Overlapping spans become one, named by the first; null stays null.
+    Spans are taken in blocks, and each block cuts its own stretch out of the text, because a cut walks
+    the text from its start.
     """
-    found = find_private(docs, id_col=id_col, text_col=text_col, **options).distinct().withColumnsRenamed({"doc_id": "of", "h": "oh", "spans": "private_spans"})
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "sanitised"]
     names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
-    text = F.col(text_col)
-    ordered = F.array_sort(F.transform("private_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    out = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"])).alias("out"),
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    def merged(v: Column) -> Column:
+        heads = F.transform(
+            v["o"],
+            lambda s, i: F.struct(
+                i.alias("i"), s["start"].alias("start"), s["kind"].alias("kind"), ((i == 0) | (s["start"] >= F.get(v["far"], i - 1))).alias("new")
             ),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    same = F.col(id_col).eqNullSafe(F.col("of")) & (text_key(text) == F.col("oh"))
-    return docs.join(found, same, "left").select(*keep, out.alias("sanitised"))
+        )
+        end = lambda hd, j: F.coalesce(F.get(v["far"], F.get(hd, j + 1)["i"] - 1), F.element_at(v["far"], -1))
+        return let(
+            F.filter(heads, lambda x: x["new"]),
+            lambda hd: F.transform(
+                hd, lambda x, j: F.struct(x["start"].alias("start"), end(hd, j).alias("end"), x["kind"].alias("kind"))
+            ),
+        )
+
+    def of_block(m: Column, b: Column) -> Column:
+        part = F.slice(m, b * block + 1, F.lit(block))
+        begin = F.when(b == 0, 0).otherwise(F.get(m, b * block - 1)["end"])
+
+        def joined(v: Column) -> Column:
+            def piece(s: Column, i: Column) -> Column:
+                before = F.when(i == 0, v["begin"]).otherwise(F.get(v["part"], i - 1)["end"])
+                return F.concat(F.substring(v["cut"], before - v["begin"] + 1, s["start"] - before), F.get(names, s["kind"]))
+
+            return F.array_join(F.transform(v["part"], piece), "")
+
+        whole = lambda v: F.struct(
+            v["part"].alias("part"),
+            v["begin"].alias("begin"),
+            F.substring(text, v["begin"] + 1, F.element_at(v["part"], -1)["end"] - v["begin"]).alias("cut"),
+        )
+        return let(let(F.struct(part.alias("part"), begin.alias("begin")), whole), joined)
+
+    def out(m: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / block).cast("int")), lambda b: of_block(m, b))
+        return F.concat(F.array_join(blocks, ""), F.substring(text, F.element_at(m, -1)["end"] + 1, F.length(text)))
+
+    far = let(ordered, lambda o: F.struct(o.alias("o"), running(F.transform(o, lambda s: s["end"]), F.greatest).alias("far")))
+    return F.when(text.isNull(), None).when(F.size(spans) > 0, let(let(far, merged), out)).otherwise(text)
+
+
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """docs with private_spans (as spans of find_private()) and sanitised: the text with every span generalised to its kind.
+
+    Overlapping spans become one, named by the first. A null text stays null and an empty one empty; null
+    ids are allowed; repeated rows stay, each with the same result; an empty table gives an empty one.
+    Columns of docs named like a result column, in any case, give way to it.
+    """
+    result = ("private_spans", "sanitised")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in result])
+    found, mine = _with_spans(docs, id_col, text_col, **options)
+    return found.withColumn("sanitised", generalised(F.col(f"`{text_col}`"), F.col(mine)))

@@ -14,7 +14,7 @@ from .kd_sharding import category, kd_shards, magnitude
 from .license_scan import scan_licenses
 from .line_dedup import dedup_lines
 from .pieces import encode_pieces
-from .private_data import KINDS, find_private
+from .private_data import KINDS, sanitise
 from .quality import quality_rules
 from .secret_scan import scan_secrets
 from .simhash import simhash_components
@@ -134,13 +134,20 @@ def op9_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_private(table(spark, sf_dir, "documents"))
+    found = sanitise(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("private_spans", "spans")
     names = F.array(*[F.lit(k) for k in KINDS])
     count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long").alias(f"n_{KINDS[i]}")
     joined = lambda kinds: F.array_join(
         F.transform(F.filter("spans", lambda s: s["kind"] < kinds), lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ","
     )
-    return found.select("doc_id", *[count(i) for i in range(4)], F.sha2(joined(4), 256).alias("base_sha256"), joined(5).alias("spans"), count(4))
+    return found.select(
+        "doc_id",
+        *[count(i) for i in range(4)],
+        F.sha2(joined(4), 256).alias("base_sha256"),
+        joined(5).alias("spans"),
+        count(4),
+        F.sha2(F.coalesce("sanitised", F.lit("")), 256).alias("sanitised_sha256"),
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
