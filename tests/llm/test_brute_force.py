@@ -273,6 +273,44 @@ def test_whole_secrets_go():
         assert secret_scan.redact(text, secret_scan.find_secrets(text)) == text.replace(secret, "[novel]")
 
 
+def test_secrets_of_every_alphabet_and_length_are_found_whole():
+    import random
+    import string
+
+    r = random.Random(17)
+    words = "weather trade office river market yellow letter people street window"
+    alphabets = {
+        "hex": "0123456789ABCDEF",
+        "base36": string.ascii_lowercase + string.digits,
+        "base62": string.ascii_letters + string.digits,
+        "base64": string.ascii_letters + string.digits + "+/",
+    }
+    for name, letters in alphabets.items():
+        for size in (16, 24, 32, 64, 128, 512, 1500, 4096, 10_000):
+            caught = 0
+            n = 40 if size < 1000 else 10
+            for _ in range(n):
+                token = r.choice("0123456789") + "".join(r.choices(letters, k=size - 2)) + r.choice(letters[-6:])
+                text = f"It is the private credential {token} of which they wrote."
+                caught += ("novel", text.index(token), text.index(token) + size) in secret_scan.find_secrets(text, words=words)
+            assert caught >= 0.9 * n, (name, size, caught)
+
+
+def test_identifiers_are_no_secrets():
+    for token in (
+        "updateAccountStatus4Batch com.example.service.UserService2Impl x509CertificateChainValidator2 getUserById2AndName"
+        " AWSSecretAccessKeyV4Signer authenticationTokenFactory2 OAuth2AuthorizedClientManager user_id_1234_access_token_expiry"
+        " 11111111111111111111 1234567890123456 2024-01-15T10:20:30 abcdefghijklmnopqrstuvwxyz0123456789 token-token-token-12"
+    ).split():
+        assert secret_scan.find_secrets(f"It is the private credential {token} of which they wrote.") == [], token
+
+
+def test_frequent_words(spark):
+    rows = [(1, "alpha beta alpha gamma"), (2, "alpha gamma x1y2z3w4"), (3, None), (4, ""), (5, "alpha Gamma")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert secret_scan.frequent_words(docs, 2) == "gamma alpha" and secret_scan.frequent_words(docs.limit(0)) == ""
+
+
 def test_private_data(docs):
     kinds = private_data.KINDS[:4]
     got = private_data.find_private(docs).collect()

@@ -16,7 +16,7 @@ from .line_dedup import dedup_lines
 from .pieces import encode_pieces
 from .private_data import KINDS, sanitise
 from .quality import quality_rules
-from .secret_scan import scan_secrets
+from .secret_scan import frequent_words, scan_secrets
 from .simhash import simhash_components
 from .token_counts import count_document_tokens
 
@@ -111,7 +111,8 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_secrets(docs, words=frequent_words(docs))
     count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     joined = lambda keep: F.array_join(F.transform(F.filter("secrets", keep), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     return found.select(

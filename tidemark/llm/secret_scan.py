@@ -1,13 +1,16 @@
 """Secret scans: fixed patterns, and dictionary-primed zstandard novelty.
 
 A candidate is a long token of mixed characters after a sensitive word. Its novelty is the marginal
-size it adds to the compressed code around it, under a dictionary of identifiers: what the dictionary
-or the surroundings already spell costs next to nothing, a random secret costs all of its bytes.
+size it adds to the compressed code around it, under a dictionary of identifiers, as a share of what
+random strings of its length and alphabet add there: what the dictionary or the surroundings already
+spell costs next to nothing, a secret costs as much as noise, be it hexadecimal or base64.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -58,31 +61,60 @@ select self sequence server service session setting shared signature size socket
 static status stream string struct style switch symbol system table target task template test text thread
 throw time timeout timestamp title token topic trace transaction transform true type union unique unknown
 update upload uri url user username utf-8 uuid valid value variable vector version view virtual void
-volume web while widget window worker workspace write xml yaml yield your-api-key-here changeme example
+volume web while widget window worker workspace write xml yaml yield getUserById findAllByName AndName OrElse
+setValue isEnabled hasNext toString fromJson withDefault onChange newInstance parseInt addAll your-api-key-here changeme example
 abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcdef
 """
 
 
-@lru_cache(maxsize=1)
-def _primed() -> zstandard.ZstdCompressor:
-    words = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return zstandard.ZstdCompressor(level=9, dict_data=words, write_content_size=False)
+#: Dates and times of logs and releases; no words, but ordinary text too.
+DATES = "2024-01-15T10:20:30 2023-12-31 2022-06-07 2021-11-28 2020-05-04 2019-08-09"
 
 
-def novelty(before: str, candidate: str, after: str) -> float:
-    """Marginal compressed bytes of the candidate in its surroundings, per byte of it."""
-    compress = _primed().compress
-    around = (before + "\n" + after).encode()
-    return (len(compress(around + b"\n" + candidate.encode())) - len(compress(around))) / max(1, len(candidate))
+@lru_cache(maxsize=2)
+def _primed(words: str = "") -> zstandard.ZstdCompressor:
+    """The compressor under a dictionary of words, the most telling ones last."""
+    plain = [w for w in IDENTIFIERS.split() if w.isalpha() and w.islower()]
+    content = f"{words} {DATES} {' '.join(map(str.capitalize, plain))} {IDENTIFIERS}".encode()
+    start = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(level=19, dict_data=start, write_content_size=False)
+
+
+def _alphabet(token: str) -> str:
+    """Characters of the classes that a token has: digits, letters (to f if none is beyond) and its own signs."""
+    hexadecimal = not re.search("[g-zG-Z]", token)
+    out = string.digits
+    if re.search("[a-z]", token):
+        out += "abcdef" if hexadecimal else string.ascii_lowercase
+    if re.search("[A-Z]", token):
+        out += "ABCDEF" if hexadecimal else string.ascii_uppercase
+    return out + "".join(sorted(set(re.sub("[A-Za-z0-9]", "", token))))
+
+
+@lru_cache(maxsize=4096)
+def _noise(alphabet: str, size: int) -> tuple[str, ...]:
+    """Random strings to compare with; more of them where chance matters more."""
+    r = random.Random(size)
+    return tuple("".join(r.choices(alphabet, k=size)) for _ in range(4 if size < 64 else 2))
+
 
+def novelty(before: str, candidate: str, after: str, words: str = "", step: int = 4096) -> float:
+    """Marginal compressed bytes of the candidate in its surroundings, as a share of those of noise of its kind.
 
-def _novel(text: str, s: int, e: int, window: int, least: float, step: int = 128) -> bool:
-    """Whether text[s:e] is novel in the mean of its slices; a long token's alphabet would be learnt if it were taken whole."""
-    cost = 0.0
-    for at in range(s, e, step):
-        end = min(e, at + step)
-        cost += (end - at) * novelty(text[max(0, at - window) : at], text[at:end], text[e : e + window])
-    return cost >= least * (e - s)
+    Long candidates are measured in slices of `step` characters.
+    """
+    compress = _primed(words).compress
+    around = (before + "\n" + after).encode()
+    least = len(compress(around))
+    adds = lambda x: len(compress(around + b"\n" + x.encode())) - least
+    alphabet = _alphabet(candidate)
+    own = noise = 0.0
+    for at in range(0, len(candidate), step):
+        part = candidate[at : at + step]
+        like = _noise(alphabet, len(part))
+        own += adds(part)
+        noise += sum(map(adds, like)) / len(like)
+    return own / max(1.0, noise)
 
 
 def _pem_bodies(text: str) -> Iterator[tuple[int, int]]:
@@ -106,16 +138,17 @@ def _mixed(token: str) -> bool:
     return kinds >= 2 and bool(re.search("[0-9]", token))
 
 
-def find_secrets(text: str, least_novelty: float = 0.75, context: int = 48, window: int = 256) -> list[tuple[str, int, int]]:
+def find_secrets(text: str, least_novelty: float = 0.83, context: int = 48, window: int = 256, words: str = "") -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, end exclusive, ordered by start and kind.
 
     assign, access and hex are the leftmost non-overlapping matches of their patterns; a match that is
     too short is dropped. A novel span is a candidate that starts in the `context` characters after a
-    sensitive word, on its line, that no base span touches and whose novelty reaches least_novelty;
-    `window` characters on each side are the surroundings. It runs to the end of its token and of the
+    sensitive word, on its line, that no base span holds whole and whose novelty reaches least_novelty;
+    `window` characters on each side are the surroundings and words more of the dictionary. It runs to the end of its token and of the
     dotted parts that adjoin it, however long. The body of a PEM block is one candidate, touched or not.
     """
     spans: list[tuple[int, int, int]] = []
+    novel = lambda s, e: novelty(text[max(0, s - window) : s], text[s:e], text[e : e + window], words) >= least_novelty
     low = text.lower()
     if any(h in low for h in _ASSIGN_HINTS):
         spans += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
@@ -124,7 +157,7 @@ def find_secrets(text: str, least_novelty: float = 0.75, context: int = 48, wind
     spans += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
     if any(h in low for h in _SENSITIVE_HINTS):
         for s, e in _pem_bodies(text):
-            if _mixed(text[s:e]) and _novel(text, s, e, window, least_novelty):
+            if _mixed(text[s:e]) and novel(s, e):
                 spans.append((s, 3, e))
         base = sorted(spans)
         # Candidates start within reach of a sensitive word, so only what follows one is looked at.
@@ -141,9 +174,9 @@ def find_secrets(text: str, least_novelty: float = 0.75, context: int = 48, wind
                         break
                     s -= 1 + len(part[0])
                 at = seen = e
-                if not _mixed(text[s:e]) or any(a < e and s < b for a, _, b in base):
+                if not _mixed(text[s:e]) or any(a <= s and e <= b for a, _, b in base):
                     continue
-                if _novel(text, s, e, window, least_novelty):
+                if novel(s, e):
                     spans.append((s, 3, e))
     return [(KINDS[k], s, e) for s, k, e in sorted(spans)]
 
@@ -154,10 +187,21 @@ _SPAN_TYPE = T.ArrayType(
 )
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", least_novelty: float = 0.75) -> DataFrame:
+def frequent_words(docs: DataFrame, size: int = 4_000, text_col: str = "text") -> str:
+    """The `size` words that most rows have, over all rows: runs of 4 to 24 letters A-Z of either case, the most frequent last.
+
+    Secrets are no such words: candidates have digits. Ties go by the word; nulls have none. At most 100 kB.
+    """
+    words = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "[^A-Za-z]+"), lambda w: F.length(w).between(4, 24))
+    counts = docs.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return " ".join(r.word for r in reversed(counts.orderBy(F.desc("n"), "word").limit(size).collect()))
+
+
+def scan_secrets(docs: DataFrame, text_col: str = "text", least_novelty: float = 0.83, words: str = "") -> DataFrame:
     """docs with secrets: an array of (kind, start, end), by start and then kind.
 
-    One map over the rows; nothing is shuffled or dropped. A null or empty text has none, repeated rows
+    words: the corpus's own words for the dictionary (frequent_words()). One map over the rows; nothing is
+    shuffled or dropped. An empty table gives an empty one. A null or empty text has none, repeated rows
     get the same spans, and the work on a text grows with its length. A column of docs named secrets, in
     any case, gives way to the result.
     """
@@ -166,7 +210,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", least_novelty: float =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            found = [[{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(x or "", least_novelty)] for x in rows]
+            found = [[{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(x or "", least_novelty, words=words)] for x in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(_SPAN))], names=[*batch.schema.names, "secrets"])
 
     return arrow_map(docs, run, T.StructType(docs.schema.fields + [T.StructField("secrets", _SPAN_TYPE)]))
