@@ -539,3 +539,26 @@ def test_empty_tables(spark):
         private_data.find_private(docs),
     ]
     assert [x.count() for x in results] == [0] * len(results)
+
+
+def test_token_streams_go_once_they_are_counted(spark, tmp_path):
+    from pathlib import Path
+
+    from tidemark.llm.common import ensure_checkpoint_dir
+
+    docs = spark.createDataFrame([(i, f"text {i} " * (i % 5)) for i in range(50)], "doc_id long, text string").repartition(3)
+    ranks, pattern = queries.vocabulary("byte_bpe_50k.tiktoken"), queries.byte_pattern()
+    folder = token_counts.write_token_stream(docs, ranks, pattern, queries.EOD)
+    order = spark.read.parquet(f"{folder}/order")
+    counts = token_counts.count_tokens(token_counts.read_token_files(spark, f"{folder}/ids", block_tokens=7, task_bytes=64), queries.EOD)
+    assert order.count() == 50 and {(r.file.rsplit("/", 1)[-1], r.nth) for r in counts.collect()} == {(r.file, r.nth) for r in order.collect()}
+    before = set(Path(ensure_checkpoint_dir(spark).removeprefix("file:")).glob("token-stream-*"))
+    found = token_counts.count_document_tokens(docs, ranks, pattern, queries.EOD)
+    assert set(Path(ensure_checkpoint_dir(spark).removeprefix("file:")).glob("token-stream-*")) == before
+    assert sum(r.n_tokens for r in found.collect()) == counts.agg({"n_tokens": "sum"}).first()[0]
+
+
+def test_an_odd_flat_file_fails(spark, tmp_path):
+    (tmp_path / "odd.bin").write_bytes(b"abc")
+    with pytest.raises(Exception, match="whole tokens"):
+        token_counts.count_tokens(token_counts.read_token_files(spark, str(tmp_path)), 5).collect()

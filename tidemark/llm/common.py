@@ -42,7 +42,7 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one of our own only where none is set (tests)."""
+    """The shared folder of spark.checkpoint.dir. Where none is set, a local session gets one of its own; a cluster must name it."""
     sc = spark.sparkContext
     conf = sc.getConf().get("spark.checkpoint.dir")
     if conf:
@@ -50,10 +50,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(conf)
         return conf
     if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ours in the shared folder, once nothing reads it any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Computes df once and cuts its lineage by a reliable checkpoint in the shared folder."""
     ensure_checkpoint_dir(df.sparkSession)

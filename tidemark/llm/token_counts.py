@@ -10,36 +10,51 @@ at a block's bounds meet again under one number.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut, ensure_checkpoint_dir
+from .common import arrow_map, cut, ensure_checkpoint_dir, remove
 
 BLOCKS = "file string, block long, ids binary"
 
 
-def read_token_files(spark: SparkSession, path: str, width: int = 2, block_tokens: int = 1 << 16) -> DataFrame:
-    """Flat files under path as rows (file, block, ids). A file is one record of Spark's binaryFile
-    source, so it may have up to 2 GB; token writers cut shards far below that."""
+def file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path in it; s3a is the name that Hadoop has for s3."""
+    if "://" not in path:
+        return fs.LocalFileSystem(), path.removeprefix("file:")
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+
+
+def read_token_files(spark: SparkSession, path: str, width: int = 2, block_tokens: int = 1 << 16, task_bytes: int = 32 << 20) -> DataFrame:
+    """Flat files under path as rows (file, block, ids). Files are listed with their lengths; tasks then read
+    ranges of whole tokens, so a file may be of any size and is read by many tasks."""
+    step = block_tokens * width
+    files = spark.read.format("binaryFile").load(path).select("path", "length")  # contents aren't read
+    total = files.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // task_bytes))
+    starts = F.posexplode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(step))).alias("block", "at")
+    ranges = files.where("length > 0").select("path", "length", starts).repartition(tasks, "path", "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = block_tokens * width
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = memoryview(content.as_buffer())
-                if len(raw) % width:
-                    raise ValueError(f"{path}: {len(raw)} bytes aren't whole tokens of {width} bytes")
-                for k in range(0, len(raw), step):
-                    part = [pa.array([path]), pa.array([k // step], pa.int64()), pa.array([bytes(raw[k : k + step])], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(part, names=["file", "block", "ids"])
+            for name, length, block, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if length % width:
+                    raise ValueError(f"{name}: {length} bytes aren't whole tokens of {width} bytes")
+                system, inner = file_system(name)
+                with system.open_input_file(inner) as f:
+                    ids = f.read_at(min(step, length - at), at)
+                part = [pa.array([name]), pa.array([block], pa.int64()), pa.array([ids], pa.binary())]
+                yield pa.RecordBatch.from_arrays(part, names=["file", "block", "ids"])
 
-    return arrow_map(spark.read.format("binaryFile").load(path).select("path", "content"), run, BLOCKS)
+    return arrow_map(ranges, run, BLOCKS)
 
 
 def count_tokens(blocks: DataFrame, eod: int, width: int = 2) -> DataFrame:
@@ -80,63 +95,59 @@ def count_tokens(blocks: DataFrame, eod: int, width: int = 2) -> DataFrame:
     )
 
 
-def write_token_stream(docs: DataFrame, ranks: bytes, pattern: str, eod: int, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = 1 << 16) -> str:
-    """Encodes docs into flat streams, one for each partition, and returns the folder written.
+def write_token_stream(docs: DataFrame, ranks: bytes, pattern: str, eod: int, id_col: str = "doc_id", text_col: str = "text") -> str:
+    """Encodes docs into flat files, one for each partition, and returns the folder written.
 
-    The folder lies in spark.checkpoint.dir. Its rows are blocks (file, block, ids) of a stream of
-    16-bit ids, each document followed by eod, and beside them the order of the documents (file, nth,
-    doc_id). ranks: the bytes of a tiktoken file. Null texts are empty documents.
+    The folder lies in spark.checkpoint.dir. ids/ has the files of little-endian 16-bit ids, each document
+    followed by eod; order/ has, as Parquet, the order of the documents in them (file, nth, doc_id). A
+    task that is run again writes a file of another name, and order names those of the tasks that counted.
+    ranks: the bytes of a tiktoken file. Null texts are empty documents.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-stream-{uuid.uuid4().hex}"
     order = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(shared, pattern).encode_ordinary
-        file = f"part-{TaskContext.get().partitionId():06d}"
-        waiting, size, block, nth = [], 0, 0, 0
-
-        def out(kind, numbers, docs, parts) -> pa.RecordBatch:
-            n = len(numbers)
-            arrays = [pa.array([file] * n), pa.array([kind] * n), pa.array(numbers, pa.int64()), docs, pa.array(parts, pa.binary())]
-            return pa.RecordBatch.from_arrays(arrays, names=["file", "kind", "number", "doc_id", "ids"])
-
+        encode, task = encoder(shared, pattern).encode_ordinary, TaskContext.get()
+        name, out, nth = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.bin", None, 0
+        system, folder = file_system(f"{path}/ids")
         for batch in batches:
-            n = batch.num_rows
-            yield out("doc", list(range(nth, nth + n)), batch.column(0), [None] * n)
-            nth += n
+            if out is None:
+                system.create_dir(folder, recursive=True)
+                out = system.open_output_stream(f"{folder}/{name}", buffer_size=1 << 20)
             for text in batch.column(1):
                 got = encode(text.as_py() or "")
                 got.append(eod)
-                waiting.append(np.array(got, "<u2"))
-                size += len(got)
-                if size >= block_tokens:
-                    tokens = np.concatenate(waiting)
-                    whole = size // block_tokens
-                    parts = [tokens[k * block_tokens : (k + 1) * block_tokens].tobytes() for k in range(whole)]
-                    yield out("block", list(range(block, block + whole)), pa.nulls(whole, pa.int64()), parts)
-                    block += whole
-                    waiting, size = [tokens[whole * block_tokens :]], size - whole * block_tokens
-        if size:
-            yield out("block", [block], pa.nulls(1, pa.int64()), [np.concatenate(waiting).tobytes()])
-
-    rows = arrow_map(order, run, "file string, kind string, number long, doc_id long, ids binary")
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-stream-{uuid.uuid4().hex}"
-    rows.write.option("compression", "zstd").parquet(path)
+                out.write(np.array(got, "<u2").tobytes())
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(nth, nth + n), pa.int64()), batch.column(0)], names=["file", "nth", "doc_id"])
+            nth += n
+        if out is not None:
+            out.close()
+
+    arrow_map(order, run, "file string, nth long, doc_id long").write.parquet(f"{path}/order")
     return path
 
 
 def count_document_tokens(docs: DataFrame, ranks: bytes, pattern: str, eod: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens) of every row of docs, counted in the flat streams that the rows are encoded to.
+    """(doc_id, n_tokens) of every row of docs, counted in the flat files that the rows are encoded to.
 
-    Null ids and repeated rows stay: every row is a document of the streams. Null and empty texts have
-    0 tokens. The text of the separator in a document is ordinary text and never taken for it.
+    Null ids and repeated rows stay: every row is a document of the files. Null and empty texts have
+    0 tokens. The text of the separator in a document is ordinary text and never taken for it. An empty
+    table gives an empty one; other columns are not read. The files are deleted once all is counted.
     """
     spark = docs.sparkSession
-    stream = spark.read.parquet(write_token_stream(docs, ranks, pattern, eod, id_col, text_col))
-    blocks = stream.where("kind = 'block'").select("file", F.col("number").alias("block"), "ids")
-    order = stream.where("kind = 'doc'").select("file", F.col("number").alias("nth"), "doc_id")
-    return order.join(count_tokens(blocks, eod), ["file", "nth"], "left").select("doc_id", "file", "nth", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
+    path = write_token_stream(docs, ranks, pattern, eod, id_col, text_col)
+    order = spark.read.parquet(f"{path}/order")
+    if order.isEmpty():
+        return order.select("doc_id", F.lit(0).cast("long").alias("n_tokens"))
+    named = F.substring_index("file", "/", -1)
+    counts = count_tokens(read_token_files(spark, f"{path}/ids"), eod).withColumn("file", named)
+    found = order.join(counts, ["file", "nth"], "left").select("doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
+    found = cut(found)
+    remove(spark, path)
+    return found
 
 
 _ENCODERS: dict = {}
