@@ -106,6 +106,15 @@ def test_decontamination(docs, spark, small):
         assert multiset(map(tuple, got)) == multiset(want)
 
 
+def test_blocks_of_a_large_benchmark_are_live_one_at_a_time(spark):
+    docs = spark.createDataFrame([(i, f"a passage of nine or ten words about number {i % 40} and more") for i in range(80)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, f"of nine or ten words about number {i}") for i in range(0, 40, 2)], "item_id long, text string")
+    got = decontam.decontaminate(docs, bench, block_words=16, chunk_words=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert -(-20 * 8 // 16) == 10 and plan.count("MapInArrow") == 1
+    assert {(r.doc_id, r.n_hit, tuple(r["items"])) for r in got.collect()} == {(i, 0 if i % 2 else 8, () if i % 2 else (str(i % 40),)) for i in range(80)}
+
+
 def test_decontamination_without_items(docs, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r.n_hit for r in decontam.decontaminate(docs, none).collect()} == {0}

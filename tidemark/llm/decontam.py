@@ -6,20 +6,24 @@ words says how far the search may jump when a block ends at the current word, bu
 block and prefix block select the patterns that may end there, and a direct comparison confirms.
 
 The patterns are the stated query set. They are packed into blocks of about `block_words` words, in
-pieces of at most `chunk_words + window - 1` words whatever the length of an item. Each block is
-broadcast by itself, and the documents stream through one map a block, without a shuffle.
+pieces of at most `chunk_words + window - 1` words whatever the length of an item. If one block holds
+them all, the documents stream through one map, without a shuffle. Else each block is broadcast by
+itself for a pass of its own, whose few hits are written out before the next block is read; so one
+block at most is in memory at a time, on the driver and in each task.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import alnum_words, arrow_map, free_name, texts
+from .common import alnum_words, arrow_map, cut, ensure_checkpoint_dir, free_name, modest, remove, texts
 
 #: Gaps between words before lower-casing.
 _GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -114,45 +118,93 @@ def _pieces(benchmark: DataFrame, window: int, chunk_words: int, item_col: str,
     )
 
 
-def _scan(shared, window: int, text_col: str, state: list[str], last: bool):
-    """One block's pass: adds its spans and items to what earlier passes found; the last pass judges."""
+RESULT = (
+    ("n_words", T.LongType(), pa.int64()),
+    ("n_hit", T.LongType(), pa.int64()),
+    ("items", T.ArrayType(T.StringType()), pa.list_(pa.string())),
+    ("contaminated", T.BooleanType(), pa.bool_()),
+)
+
+
+def _judged(batch: pa.RecordBatch, keep: list[str], rows: list[tuple[int, list[tuple[int, int]], set[str]]]) -> pa.RecordBatch:
+    """The columns to keep and the verdict on (number of words, merged spans, items) of every row."""
+    hit = [sum(e - s for s, e in spans) for _, spans, _ in rows]
+    n_words = [n for n, _, _ in rows]
+    values = (n_words, hit, [sorted(x) for _, _, x in rows], [h > 0 and 20 * h >= n for h, n in zip(hit, n_words, strict=True)])
+    arrays = [pa.array(v, kind) for v, (_, _, kind) in zip(values, RESULT, strict=True)]
+    own = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+    return pa.RecordBatch.from_arrays([*own, *arrays], names=[*keep, *(n for n, _, _ in RESULT)])
+
+
+def _scan(shared, window: int, text_col: str, keep: list[str]):
+    """Search and verdict in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines = compile_patterns(shared.value, window)
         for batch in batches:
-            rows = texts(batch, text_col)
-            old = [batch.column(batch.schema.get_field_index(c)).to_pylist() if c in batch.schema.names else None for c in state]
-            kept = [i for i, c in enumerate(batch.schema.names) if c not in state]
-            spans_out, items_out, n_words = [], [], []
-            for i, text in enumerate(rows):
-                words = alnum_words(text)
-                spans, items = find(words, machines)
-                if old[0] is not None:
-                    flat = old[0][i]
-                    spans = merge(spans + list(zip(flat[::2], flat[1::2], strict=True)))
-                    items |= set(old[1][i])
-                n_words.append(len(words))
-                spans_out.append([x for s in spans for x in s])
-                items_out.append(sorted(items))
-            columns = [batch.column(i) for i in kept]
-            names = [batch.schema.names[i] for i in kept]
-            if last:
-                hit = [sum(s[1::2]) - sum(s[::2]) for s in spans_out]
-                columns += [
-                    pa.array(n_words, pa.int64()),
-                    pa.array(hit, pa.int64()),
-                    pa.array(items_out, pa.list_(pa.string())),
-                    pa.array([h > 0 and 20 * h >= n for h, n in zip(hit, n_words, strict=True)], pa.bool_()),
-                ]
-                names += ["n_words", "n_hit", "items", "contaminated"]
-            else:
-                columns += [pa.array(spans_out, pa.list_(pa.int32())), pa.array(items_out, pa.list_(pa.string()))]
-                names += state
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            split = [alnum_words(x) for x in texts(batch, text_col)]
+            yield _judged(batch, keep, [(len(w), *find(w, machines)) for w in split])
 
     return run
 
 
+def _hits(shared, window: int):
+    """(h1, h2, spans, items) of the texts that one block's patterns occur in."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machines = compile_patterns(shared.value, window)
+        for batch in batches:
+            found = [find(alnum_words(x), machines) for x in texts(batch)]
+            at = [i for i, (spans, _) in enumerate(found) if spans]
+            arrays = [batch.column(i).take(pa.array(at, pa.int64())) for i in (0, 1)]
+            arrays.append(pa.array([[x for s in found[i][0] for x in s] for i in at], pa.list_(pa.int32())))
+            arrays.append(pa.array([sorted(found[i][1]) for i in at], pa.list_(pa.string())))
+            yield pa.RecordBatch.from_arrays(arrays, names=["h1", "h2", "spans", "hit_items"])
+
+    return run
+
+
+def _judge(text_col: str, spans_col: str, items_col: str, keep: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = lambda c: batch.column(batch.schema.get_field_index(c)).to_pylist()  # noqa: B023, E731
+            rows = []
+            for text, flat, items in zip(texts(batch, text_col), column(spans_col), column(items_col), strict=True):
+                flat = flat or []
+                rows.append((len(alnum_words(text)), merge(list(zip(flat[::2], flat[1::2], strict=True))), set(items or ())))
+            yield _judged(batch, keep, rows)
+
+    return run
+
+
+def _in_passes(docs: DataFrame, keyed: DataFrame, n_blocks: int, window: int, text_col: str) -> DataFrame:
+    """docs with the spans and items that all blocks' passes found, each pass written out before the next begins."""
+    spark = docs.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/patterns-{uuid.uuid4().hex}"
+    keyed.repartition("block").write.partitionBy("block").parquet(path)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    h1, h2 = F.xxhash64(text), F.xxhash64(F.lit(1), text)
+    rows = docs.select(h1.alias("h1"), h2.alias("h2"), text.alias("text"))
+    passes = []
+    for b in range(n_blocks):
+        shared = spark.sparkContext.broadcast(_block(spark.read.parquet(path).where(F.col("block") == b)))
+        found = arrow_map(rows, _hits(shared, window), "h1 long, h2 long, spans array<int>, hit_items array<string>")
+        passes.append(cut(found.dropDuplicates(["h1", "h2"])))
+        shared.unpersist()
+    remove(spark, path)
+    found = reduce(DataFrame.union, passes).groupBy("h1", "h2")
+    found = cut(found.agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("hit_items"))).alias("hit_items")))
+    names = [free_name(docs, c) for c in ("h1", "h2", "spans", "hit_items")]
+    found = modest(found.toDF(*names))
+    out = docs.join(found, (h1 == F.col(names[0])) & (h2 == F.col(names[1])), "left").drop(*names[:2])
+    return arrow_map(out, _judge(text_col, *names[2:], docs.columns), T.StructType(docs.schema.fields + [T.StructField(n, t) for n, t, _ in RESULT]))
+
+
+def _block(pieces: DataFrame) -> list[Piece]:
+    """One block's pieces on the driver: about block_words words."""
+    return [(r.item, [w.encode().lower() for w in r.piece], r.total) for r in pieces.select("item", "piece", "total").collect()]
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -166,32 +218,19 @@ def decontaminate(
     """docs with n_words, n_hit (words inside an occurrence), items (sorted ids) and contaminated.
 
     A word is `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the whole text with A-Z lower-cased.
-    contaminated: n_hit > 0 and 20 * n_hit >= n_words. Rows are neither dropped nor shuffled, and
-    repeated rows are judged alike. A null or empty text has no words and no hits. Null item ids stand
+    contaminated: n_hit > 0 and 20 * n_hit >= n_words. Rows are not dropped; they are shuffled only if the
+    benchmark has more than one block and more texts are hit than a broadcast may hold. Repeated rows are judged alike. A null or empty text has no words and no hits. Null item ids stand
     as 'null'; items alike in id are one item; items without words give no pattern; without any
     pattern nothing is hit. Columns of docs named like a result column, in any case, give way to it.
     """
-    sc = docs.sparkSession.sparkContext
-    result = ("n_words", "n_hit", "items", "contaminated")
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in result])
-    state = [free_name(docs, "spans"), free_name(docs, "hit_items")]
-    between = [T.StructField(state[0], T.ArrayType(T.IntegerType())), T.StructField(state[1], T.ArrayType(T.StringType()))]
-    judged = [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("n_hit", T.LongType()),
-        T.StructField("items", T.ArrayType(T.StringType())),
-        T.StructField("contaminated", T.BooleanType()),
-    ]
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in [n for n, _, _ in RESULT]])
     pieces = _pieces(benchmark, window, chunk_words, item_col, item_text_col)
     n_blocks = max(1, -(-(pieces.agg(F.sum(F.size("piece"))).first()[0] or 0) // block_words))
-    keyed = pieces.withColumn("block", F.pmod(F.xxhash64("item", "piece"), F.lit(n_blocks)))
-    out = docs
-    for b in range(n_blocks):
-        rows = keyed.where(F.col("block") == b).collect()  # at most about block_words words
-        shared = sc.broadcast([(r.item, [w.encode().lower() for w in r.piece], r.total) for r in rows])
-        last = b == n_blocks - 1
-        out = arrow_map(out, _scan(shared, window, text_col, state, last), T.StructType(docs.schema.fields + (judged if last else between)))
-    return out
+    if n_blocks > 1:
+        keyed = pieces.withColumn("block", F.pmod(F.xxhash64("item", "piece"), F.lit(n_blocks)).cast("int"))
+        return _in_passes(docs, keyed, n_blocks, window, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(_block(pieces))
+    return arrow_map(docs, _scan(shared, window, text_col, docs.columns), T.StructType(docs.schema.fields + [T.StructField(n, t) for n, t, _ in RESULT]))
 
 
 def items_digest(items) -> object:
