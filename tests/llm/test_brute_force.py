@@ -149,6 +149,32 @@ def test_quality_bands():
     assert quality.compression(b"", c, bands) == (None, 0.0, 0)
 
 
+def test_bands_fitted_to_good_documents_tell_junk(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    bands = quality.fit_bands(docs, labels)
+    assert bands == quality.fit_bands(docs.repartition(5), labels.unionByName(labels))
+    rows = quality.quality_rules(docs.select("doc_id", "text"), bands).join(labels, "doc_id").where("NOT base_failed").select("quality", "kept").collect()
+    share = lambda q: sum(r.kept for r in rows if r.quality == q) / sum(r.quality == q for r in rows)
+    assert share(1) >= 0.99 and share(0) <= 0.5
+    assert quality.fit_bands(docs, labels.limit(0)) == quality.fit_bands(docs.limit(0), labels) == quality.Bands()
+
+
+def test_limits_of_a_band_are_quantiles():
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    sizes = r.integers(200, 5000, 3000)
+    ratios = 0.5 + 0.02 * r.standard_normal(3000)
+    limits = quality.limits_of(sizes, ratios, 0.01, 0.0, 100, quality.Bands())
+    ends = [x[0] for x in limits[1:]]
+    for (start, low, high), end in zip(limits[:-3], ends, strict=False):
+        own = ratios[(sizes >= start) & (sizes < end)]
+        assert len(own) >= 95 and 0.97 <= np.mean((own >= low) & (own <= high)) <= 0.99
+    assert limits[-1] == (65536, 0.15, 0.7) and [x[0] for x in limits] == sorted({x[0] for x in limits})
+    assert quality.limits_of(sizes[:50], ratios[:50], 0.01, 0.0, 100, quality.Bands()) == quality.Bands().limits
+
+
 def plain_fingerprint(text):
     w = PLAIN.findall(lower(text))
     shingles = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])

@@ -26,14 +26,14 @@ def classes(n, linked):
     return [find(i) for i in range(n)]
 
 
-def good(text):
+def good(text, bands):
     w = PLAIN.findall(text)
     grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
     count = defaultdict(int)
     for g in grams:
         count[g] += 1
     repeated = {j for i, g in enumerate(grams) if count[g] > 1 for j in range(i, i + 3)}
-    _, bad, verdict = quality.compression(text.encode(), zstandard.ZstdCompressor(level=3), quality.Bands())
+    _, bad, verdict = quality.compression(text.encode(), zstandard.ZstdCompressor(level=3), bands)
     return len(w) >= 50 and 100 * len(repeated) <= 50 * len(w) and not verdict and bad <= 0.5
 
 
@@ -57,7 +57,8 @@ def without_repeated_lines(docs):
 def test_pipeline(spark, small):
     table = spark.read.parquet(f"{small}/documents.parquet")
     docs = {r.doc_id: r.text or "" for r in table.select("doc_id", "text").collect()}
-    docs = without_repeated_lines({d: t for d, t in docs.items() if good(t)})
+    bands = quality.fit_bands(table, spark.read.parquet(f"{small}/labels.parquet"))
+    docs = without_repeated_lines({d: t for d, t in docs.items() if good(t, bands)})
     ids = sorted(docs)
     fps = [plain_fingerprint(docs[d]) for d in ids]
     groups = classes(len(ids), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 4)

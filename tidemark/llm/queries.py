@@ -15,7 +15,7 @@ from .license_scan import scan_licenses
 from .line_dedup import dedup_lines
 from .pieces import encode_pieces
 from .private_data import KINDS, sanitise
-from .quality import quality_rules
+from .quality import fit_bands, quality_rules
 from .secret_scan import frequent_words, scan_secrets
 from .simhash import simhash_components
 from .token_counts import count_document_tokens
@@ -102,7 +102,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules(docs, fit_bands(docs, table(spark, sf_dir, "labels"))).drop("text")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
