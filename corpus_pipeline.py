@@ -15,7 +15,7 @@ from tidemark.llm.common import ensure_checkpoint_dir
 from tidemark.llm.decontam import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.pieces import encode_pieces
-from tidemark.llm.quality import quality_rules
+from tidemark.llm.quality import fit_bands, quality_rules
 from tidemark.llm.queries import table, vocabulary
 from tidemark.llm.simhash import drop_near_duplicates
 
@@ -24,8 +24,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
-    return quality_rules(docs).where("kept").select(*COLUMNS)
+    """Documents that pass the quality rules, with bands fitted to those that are labelled good."""
+    bands = fit_bands(docs, table(spark, sf_dir, "labels"))
+    return quality_rules(docs, bands).where("kept").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
