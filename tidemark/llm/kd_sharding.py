@@ -3,17 +3,17 @@
 A node of the tree is split at the weighted median of its widest dimension, for k leaves at the share
 floor(k/2) / k of its bytes, until each leaf has the target bytes. Medians are found by histograms:
 the rows of all nodes of a level are summed by the digits of (coordinate, text hash, id hash), most
-significant first, and only the digit that the median falls into is looked at again. So the driver
-sees at most 4,096 sums a node and a round, whatever the number of rows, and ties in the coordinate
-are ordered by text, which keeps equal texts together unless their group is too heavy for its shard.
+significant first, and only the digit that the median falls into is looked at again. Ties in the
+coordinate are ordered by text, which keeps equal texts together unless their group is too heavy for
+its shard. The nodes are a table: running sums over at most 4,096 digits of a node pick the digit, for
+all nodes of a level at once, and the driver sees only whether a level is done.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, text_key
@@ -34,51 +34,6 @@ def magnitude(c: Column) -> Column:
     return F.least(F.floor(log * 64), F.lit((1 << DIGIT) - 1)).cast("long")
 
 
-@dataclass
-class Node:
-    leaves: int
-    first: int  # its leaves are the shards first, first + 1, ...
-    dim: int = 0
-    weight: int = 0
-    want: float = 0.0  # bytes that go left of the cut, counted within the current prefix
-    key: list[int] = field(default_factory=lambda: [0, 0, 0])  # coordinate, text hash, id hash
-    round: int = 0
-    done: bool = False
-
-    def place(self) -> tuple[int, int]:
-        """Part of the key and shift of the digit that the next round looks at."""
-        if self.round == 0:
-            return 0, 0
-        part, nth = divmod(self.round - 1, DIGITS)
-        return part + 1, DIGIT * (DIGITS - 1 - nth)
-
-    def narrow(self, sums: list[tuple[int, int, int]], slack: float) -> None:
-        """sums: (digit, bytes, rows), ascending. Fixes a digit, or the cut itself."""
-        part, shift = self.place()
-        before = 0
-        for digit, weight, rows in sums:
-            if before + weight > self.want or digit == sums[-1][0]:
-                break
-            before += weight
-        left, right = self.want - before, before + weight - self.want
-        last = self.round == 2 * DIGITS
-        # Within a text's hash the cut may snap to the nearest bound; a light group isn't split.
-        small = rows == 1 or weight <= slack * (1.0 if self.round <= DIGITS else 0.25)
-        if last or small:
-            self.key[part] += (digit + (left > right)) << shift
-            self.done = True
-        else:
-            self.key[part] += digit << shift
-            self.want -= before
-            self.round += 1
-
-
-def _table(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
-    """A few literal rows; there are never more than shards."""
-    values = ", ".join("(" + ", ".join(f"{x}L" for x in r) + ")" for r in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
-
-
 def _pick(dims: int, which: str = "dim") -> Column:
     out = F.col("c0")
     for i in range(1, dims):
@@ -133,63 +88,87 @@ def kd_shards(
     span = [max(1, (whole[f"hi{n}"] or 0) - (whole[f"lo{n}"] or 0)) for n in names]
     light = slack * total / n_shards
 
-    open_nodes = {0: Node(n_shards, 0)}
+    # A level has no more nodes than there are shards, so their number needs no counting.
+    small_side = F.broadcast if n_shards <= 1_000_000 else lambda df: df
+    # Node i has the children 2i + 1 and 2i + 2; its leaves are the shards first, first + 1, ...
+    nodes = cut(spark.range(1).select(F.lit(0).cast("long").alias("node"), F.lit(n_shards).cast("long").alias("leaves"), F.lit(0).cast("long").alias("first")))
     placed = rows.withColumn("node", F.lit(0).cast("long"))
-    made = 1
-    while total and any(x.leaves > 1 for x in open_nodes.values()):
-        level = {k: x for k, x in open_nodes.items() if x.leaves > 1}
-        spread = placed.groupBy("node").agg(F.sum("size").alias("b"), *[(F.max(n) - F.min(n)).alias(n) for n in names]).collect()
-        for r in spread:
-            if x := level.get(r.node):
-                x.weight = r.b
-                x.dim = max(range(m), key=lambda i: (r[names[i]] / span[i], -i))
-                x.want = r.b * (x.leaves // 2) / x.leaves
-        for x in level.values():
-            x.done = not x.weight
-        while any(not x.done for x in level.values()):
-            state = []
-            for k, x in level.items():
-                if not x.done:
-                    part, shift = x.place()
-                    state.append((k, x.dim, part, shift, *x.key))
-            at = _table(spark, state, "node, dim, part, shift, k0, k1, k2")
-            key = F.array(_pick(m), F.col("h"), F.col("d"))
-            here = placed.join(F.broadcast(at), "node").select("node", "size", "part", "shift", "k0", "k1", "k2", key.alias("key"))
-            own, known = "element_at(key, int(part) + 1)", "element_at(array(k0, k1, k2), int(part) + 1)"
-            fixed = F.expr(
-                f"(part < 1 OR key[0] = k0) AND (part < 2 OR key[1] = k1)"
-                f" AND (part = 0 OR {own} DIV power_of_2 = {known} DIV power_of_2)".replace(
-                    "power_of_2", f"shiftleft(1L, int(shift) + {DIGIT})"
-                )
-            )
-            digit = F.expr(f"IF(part = 0, key[0], shiftright({own}, int(shift)) & {(1 << DIGIT) - 1}L)").alias("digit")
-            got = here.where(fixed).groupBy("node", digit).agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
-            sums: dict[int, list] = {}
-            for r in got:
-                sums.setdefault(r.node, []).append((r.digit, r.b, r.n))
-            for k, found in sums.items():
-                level[k].narrow(sorted(found), light)
-        cuts, below = [], {}
-        for k, x in level.items():
-            left = x.leaves // 2
-            below[made], below[made + 1] = Node(left, x.first), Node(x.leaves - left, x.first + left)
-            cuts.append((k, x.dim, *x.key, made))
-            made += 2
-        open_nodes = {k: x for k, x in open_nodes.items() if x.leaves == 1} | below
-        at = _table(spark, cuts, "node, dim, k0, k1, k2, below")
+    left = F.floor(F.col("leaves") / 2)
+    for depth in range(math.ceil(math.log2(n_shards))):
+        spread = placed.groupBy("node").agg(F.sum("size").alias("weight"), *[((F.max(n) - F.min(n)) / s).alias(n) for n, s in zip(names, span, strict=True)])
+        level = nodes.where("leaves > 1").join(spread, "node", "left")
+        widest = F.array_max(F.array(*[F.struct(F.col(n).alias("width"), F.lit(-i).alias("i")) for i, n in enumerate(names)]))["i"]
+        level = level.select(
+            "node", "leaves", "first",
+            F.coalesce(-widest, F.lit(0)).alias("dim"),
+            (F.col("weight") * left / F.col("leaves")).alias("want"),
+            *[F.lit(0).cast("long").alias(f"k{i}") for i in range(3)],
+            F.lit(0).alias("round"),
+            F.col("weight").isNull().alias("done"),
+        )
+        level = cut(level)
+        while not level.where("NOT done").isEmpty():
+            level = cut(_narrowed(placed, level, m, light, small_side))
         mine = _pick(m)
         less = (mine < F.col("k0")) | (
             (mine == F.col("k0")) & ((F.col("h") < F.col("k1")) | ((F.col("h") == F.col("k1")) & (F.col("d") < F.col("k2"))))
         )
-        child = F.when(F.col("below").isNull(), F.col("node")).when(less, F.col("below")).otherwise(F.col("below") + 1)
-        placed = placed.join(F.broadcast(at), "node", "left").select("doc_id", "size", "text_crc32", "h", "d", *names, child.alias("node"))
-    leaves = _table(spark, [(k, x.first) for k, x in open_nodes.items()], "node, shard")
-    placed = placed.join(F.broadcast(leaves), "node").select(
-        "doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), "h", "d"
+        child = F.when(F.col("k0").isNull(), F.col("node")).otherwise(F.col("node") * 2 + F.when(less, 1).otherwise(2))
+        placed = placed.join(small_side(level.select("node", "dim", "k0", "k1", "k2")), "node", "left")
+        placed = placed.select("doc_id", "size", "text_crc32", "h", "d", *names, child.alias("node"))
+        if depth % 2:
+            placed = cut(placed)
+        halves = F.array(
+            F.struct((F.col("node") * 2 + 1).alias("node"), left.alias("leaves"), F.col("first")),
+            F.struct((F.col("node") * 2 + 2).alias("node"), (F.col("leaves") - left).alias("leaves"), (F.col("first") + left).alias("first")),
+        )
+        nodes = cut(nodes.where("leaves = 1").unionByName(level.select(F.inline(halves))))
+    placed = placed.join(small_side(nodes.select("node", "first")), "node").select(
+        "doc_id", "size", "text_crc32", F.col("first").cast("int").alias("shard"), "h", "d"
     )
     return _slots(cut(placed), n_shards, slot_rows)
 
 
+def _narrowed(placed: DataFrame, level: DataFrame, dims: int, light: float, small_side) -> DataFrame:
+    """level with the cut of every open node fixed, or one digit of it.
+
+    Round 0 looks at the coordinate, the rounds 1 to 5 at the digits of the text's hash and those up to 10
+    at the id's. want: the bytes that go left of the cut, counted within what the key fixes so far.
+    """
+    nth = F.col("round") - 1
+    part = F.when(F.col("round") == 0, 0).otherwise(F.floor(nth / DIGITS) + 1).cast("int")
+    power = lambda digits: F.element_at(F.array(*[F.lit(1 << DIGIT * i) for i in range(DIGITS + 1)]), digits + 1)
+    low = F.when(F.col("round") == 0, 0).otherwise(DIGITS - 1 - nth % DIGITS).cast("int")
+    at = level.where("NOT done").select("node", "dim", "want", "k0", "k1", "k2", part.alias("part"), low.alias("low"))
+    here = placed.join(small_side(at), "node").withColumn("k", _pick(dims))
+    fixed = ((F.col("part") < 1) | (F.col("k") == F.col("k0"))) & ((F.col("part") < 2) | (F.col("h") == F.col("k1")))
+    own = F.when(F.col("part") == 1, F.col("h")).otherwise(F.col("d"))
+    known = F.when(F.col("part") == 1, F.col("k1")).otherwise(F.col("k2"))
+    above = power(F.col("low") + 1)
+    fixed = fixed & ((F.col("part") == 0) | (own - own % above == known - known % above))
+    digit = F.when(F.col("part") == 0, F.col("k")).otherwise(((own % above - own % power(F.col("low"))) / power(F.col("low"))).cast("long")).alias("digit")
+    sums = here.where(fixed).groupBy("node", "want", digit).agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
+    one = Window.partitionBy("node").orderBy("digit")
+    sums = sums.withColumn("before", F.coalesce(F.sum("b").over(one.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    fits = (F.col("before") + F.col("b") > F.col("want")) | F.lead("digit").over(one).isNull()
+    picked = sums.withColumn("fits", fits).where("fits").groupBy("node").agg(F.min(F.struct("digit", "before", "b", "n")).alias("x"))
+    df = level.join(small_side(picked), "node", "left")
+    before, b = F.col("x.before"), F.col("x.b")
+    # Within a text's hash the cut may snap to the nearest bound; a light group isn't split.
+    small = (F.col("x.n") == 1) | (b <= F.when(F.col("round") <= DIGITS, light).otherwise(light * 0.25))
+    ends = (F.col("round") == 2 * DIGITS) | small
+    past = F.when(ends & (F.col("want") - before > before + b - F.col("want")), 1).otherwise(0)
+    add = (F.col("x.digit") + past) * power(low)
+    open_ = F.col("x").isNotNull()
+    return df.select(
+        "node", "leaves", "first", "dim",
+        F.when(open_ & ~ends, F.col("want") - before).otherwise(F.col("want")).alias("want"),
+        *[F.when(open_ & (part == i), F.col(f"k{i}") + add).otherwise(F.col(f"k{i}")).cast("long").alias(f"k{i}") for i in range(3)],
+        F.when(open_, F.col("round") + 1).otherwise(F.col("round")).alias("round"),
+        (F.col("done") | ~open_ | ends).alias("done"),
+    )
+
+
 def _slots(placed: DataFrame, n_shards: int, slot_rows: int) -> DataFrame:
     """Numbers the rows of each shard: counts of parts of about slot_rows rows, their prefix sum, and the place in the part."""
     parts = max(1, math.ceil(placed.count() / n_shards / slot_rows))
