@@ -66,7 +66,9 @@ def test_license_notice_with_a_changed_word(spark):
 
 def test_licenses_that_share_words_are_told_apart(spark):
     want = {
-        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+        "the GNU General Public License, version 2, or the GNU Lesser General Public License, version 3": "gpl,gpl-2.0,lgpl,lgpl-3.0",
+        "Creative Commons Attribution-NonCommercial, not Creative Commons Attribution 4.0 International": "cc-by-4.0,cc-by-nc",
         "Licensed under the Apache License, Version 2.0.": "apache-2.0",
         "see the Apache License, version 2.0, for more": "apache-2.0",
         "Released under the MIT License.": "mit",

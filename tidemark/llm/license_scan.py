@@ -17,13 +17,26 @@ from .common import NOT_ALNUM, text_key
 #: Phrases that count wherever they stand, with their labels. Fixed values.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-#: Short notices of public licenses, with labels of our own.
+#: Notices and opening paragraphs of public licenses, with labels of our own. Wordings are fixed values.
 NOTICES = (
     ("licensed under the apache license version 2 0", "apache-2.0"),
     ("apache license version 2 0", "apache-2.0"),
     ("you may not use this file except in compliance with the license you may obtain a copy of the license at", "apache-2.0"),
+    (
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an"
+        " as is basis without warranties or conditions of any kind either express or implied see the license for the specific"
+        " language governing permissions and limitations under the license",
+        "apache-2.0",
+    ),
     ("released under the mit license", "mit"),
     ("licensed under the mit license", "mit"),
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files the software to deal in the software without restriction including without limitation the rights"
+        " to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to"
+        " whom the software is furnished to do so subject to the following conditions",
+        "mit",
+    ),
     (
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
         " documentation files the software to deal in the software without restriction",
@@ -34,17 +47,49 @@ NOTICES = (
         " following conditions are met",
         "bsd",
     ),
+    (
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following"
+        " disclaimer in the documentation and or other materials provided with the distribution",
+        "bsd-2-clause",
+    ),
+    (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+        " derived from this software without specific prior written permission",
+        "bsd-3-clause",
+    ),
+    (
+        "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+        "bsd-4-clause",
+    ),
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
     (
         "this program is free software you can redistribute it and or modify it under the terms of the gnu general public"
         " license as published by the free software foundation",
         "gpl-notice",
     ),
+    ("either version 2 of the license or at your option any later version", "gpl-2.0-or-later"),
+    ("either version 3 of the license or at your option any later version", "gpl-3.0-or-later"),
+    ("gnu general public license version 2", "gpl-2.0"),
+    ("gnu general public license version 3", "gpl-3.0"),
     ("under the terms of the gnu lesser general public license", "lgpl"),
+    ("gnu lesser general public license version 2 1", "lgpl-2.1"),
+    ("gnu lesser general public license version 3", "lgpl-3.0"),
     ("gnu affero general public license", "agpl"),
     ("this source code form is subject to the terms of the mozilla public license", "mpl"),
+    ("subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
+    ("made available under the terms of the eclipse public license", "epl"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("boost software license version 1 0", "bsl-1.0"),
+    (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable"
+        " for any damages arising from the use of this software",
+        "zlib",
+    ),
     ("this work is licensed under a creative commons attribution", "cc-attribution"),
+    ("creative commons attribution 4 0 international", "cc-by-4.0"),
+    ("creative commons attribution sharealike", "cc-by-sa"),
+    ("creative commons attribution noncommercial", "cc-by-nc"),
+    ("creative commons attribution noderivatives", "cc-by-nd"),
     ("dedicated to the public domain under cc0", "cc0"),
     ("the software is provided as is without warranty of any kind express or implied", "no-warranty"),
     ("spdx license identifier", "spdx"),
@@ -80,7 +125,7 @@ def license_spans(
     h is the text's key; rows alike in id and text give one set of spans. first and last are words from
     0, coverage is the share of the template's words found, places the starts of complete, unbroken
     occurrences. Spans below `least` (SHORT_COVERAGE for short notices) and those of grams that other
-    licenses' notices share are dropped, and base phrases count complete only. slip: how far neighbouring
+    licenses' notices share, unless the whole notice stands, are dropped, and base phrases count complete only. slip: how far neighbouring
     diagonals may lie apart.
     """
     grams = template_grams(docs.sparkSession, k, notices, base)
@@ -117,7 +162,7 @@ def license_spans(
     covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda t: F.sequence(t, t + F.col("k") - 1)))))
     merged = merged.withColumn("coverage", covered / F.col("len"))
     enough = F.col("coverage") >= F.when(F.col("len") < SHORT, max(least, SHORT_COVERAGE)).otherwise(least)
-    whole = F.when(F.col("is_base"), F.size("places") > 0).otherwise(F.col("own"))
+    whole = (F.size("places") > 0) | (~F.col("is_base") & F.col("own"))
     return merged.where(enough & whole).drop("at", "span", "k", "len", "own")
 
 
