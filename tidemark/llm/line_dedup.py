@@ -5,7 +5,9 @@ narrow down. Each line is indexed by its segments and probes the segments of the
 down to t less, at the few starts that an alignment can have (multi-match-aware windows). Keys carry
 the length, so one hash join finds all candidates; a banded bit-parallel edit distance verifies them.
 
-Rows of the join are hashes only. Text is fetched for lines that have a candidate at all.
+Rows of the join are hashes only. Text is fetched for lines that have a candidate at all. A key that
+very many lines share is refined: what is left of the lines without the shared segment must be within
+t edits too, so it is cut into t + 1 segments in its turn, and the lines meet under those.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, connected_components, cut, in_blocks, text_key
+from .common import arrow_map, connected_components, cut, free_name, in_blocks, modest, text_key
 
 INDEX, PROBE = 1, 2
 
@@ -138,6 +140,75 @@ def _segments(edits: int, least: int):
     return run
 
 
+def _parts(key: int, entry: int, less: int, rest: str, edits: int) -> list[tuple[int, int, int, int]]:
+    """(key, role, start, size) that what is left of a line of a refined key indexes and probes.
+
+    less: by how many characters the line is longer than the indexed lines of its key. Too short a rest
+    has no segments and stays under one key.
+    """
+    other, head = len(rest) - less, key.to_bytes(8, "little", signed=True)
+    if other <= edits:
+        return [(_signed(xxhash.xxh64_intdigest(head + b"rest", 42)), entry, 0, 0)]
+    out = []
+    for role, of, i, start, n in windows(len(rest), edits):
+        if of == other:
+            own = xxhash.xxh64_intdigest(head + (of << 4 | i).to_bytes(8, "little") + rest[start : start + n].encode(), 42)
+            out.append((_signed(own), role if entry & INDEX else PROBE, start, n))
+    return out
+
+
+def _refined(edits: int):
+    """Rows of refined keys. A row without a rest is of the first level: the segment is found again in its line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, name, role, less, rest, start, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if less is None:
+                    cuts = [
+                        (len(rest) - of, s, n)
+                        for r, of, i, s, n in windows(len(rest), edits)
+                        if r == role and _signed(xxhash.xxh64_intdigest(rest[s : s + n].encode(), of << 4 | i)) == key
+                    ]
+                else:
+                    cuts = [(less, start, size)]
+                for fewer, s, n in cuts:
+                    left = rest[:s] + rest[s + n :]
+                    out += [(k, name, r, fewer, left, a, m) for k, r, a, m in _parts(key, role, fewer, left, edits)]
+            kinds = (pa.int64(), pa.int64(), pa.int8(), pa.int32(), pa.string(), pa.int32(), pa.int32())
+            for i in range(0, len(out), 1 << 14):
+                part = out[i : i + (1 << 14)]
+                arrays = [pa.array([x[c] for x in part], t) for c, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["key", "id", "role", "less", "rest", "start", "size"])
+
+    return run
+
+
+def _refine(keys: DataFrame, lines: DataFrame, edits: int, block: int, levels: int) -> DataFrame:
+    """keys (key, id, role), with the rows of keys over `block` lines under finer keys, up to `levels` times over."""
+    schema = "key long, id long, role byte, less int, rest string, start int, size int"
+    large = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("key"))
+    if large.isEmpty() or not levels:
+        return keys
+    out = keys.join(modest(large), "key", "left_anti")
+    none = F.lit(None).cast("int")
+    rows = keys.join(modest(large), "key").join(lines, "id").select("key", "id", "role", none.alias("less"), F.col("line").alias("rest"), none.alias("start"), none.alias("size"))
+    for level in range(levels):
+        rows = cut(arrow_map(rows, _refined(edits), schema))
+        shared = rows.groupBy("key").agg(
+            F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("role").bitwiseAND(INDEX)).alias("indexed"), F.count(F.lit(1)).alias("n")
+        )
+        shared = cut(shared.where("lo <> hi AND indexed > 0").select("key", (F.col("n") > block).alias("large")))
+        rows = rows.join(modest(shared), "key")
+        last = level == levels - 1
+        found = rows.select("key", "id", "role") if last else rows.where("NOT large").select("key", "id", "role")
+        out = out.unionByName(found.distinct())
+        rows = rows.where("large").drop("large")
+        if last or shared.where("large").isEmpty():
+            break
+    return cut(out)
+
+
 def _verify(edits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,15 +246,15 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, least: int, short: bool
     wanted = F.length("line") >= least
     if short:
         wanted = wanted | F.col("line").rlike(r"[\p{L}\p{N}]")
-    return rows.where(wanted).withColumn("id", F.xxhash64("line"))
+    return rows.where(wanted).withColumns({"id": F.xxhash64("line"), "check": F.hash("line")})
 
 
-def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 256, broadcast_ids: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 256, broadcast_ids: int = 1_000_000, levels: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b): links of distinct lines within `edits` edits that join all lines which such links join.
 
-    A line is named by its XXH64. Lines shorter than `least` characters are left out. Buckets of a key
-    are searched in groups of at most about 2 * block lines, however many lines share a segment. Keys that
-    lines share and ids of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
+    A line is named by its XXH64. Lines shorter than `least` characters are left out. A key of over `block`
+    lines is refined up to `levels` times; what is still larger is searched in groups of at most about
+    2 * block lines, every pair of blocks by itself. Keys that lines share and ids of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
     """
     keys = arrow_map(docs.select(F.col(text_col)), _segments(edits, least), "key long, id long, role byte")
     # Sums by key are made partially in each task, so no task gathers the rows of a key that very many lines share.
@@ -195,6 +266,7 @@ def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 25
     few = ids.count() <= broadcast_ids
     lines = _lines(docs, id_col, text_col, least).join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted"))
     lines = cut(lines.select("id", "line").dropDuplicates(["id"]))
+    keys = _refine(keys, lines, edits, block, levels)
     groups = in_blocks(keys, "key", F.xxhash64("id"), block).join(lines, "id")
     groups = groups.groupBy("key", "p", "q").agg(F.collect_list(F.struct("id", "role", "line")).alias("lines")).where(F.size("lines") > 1)
     return arrow_map(groups.select("lines"), _verify(edits), "a long, b long")
@@ -206,17 +278,19 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str
     Lines that are equal or joined by links make a class; its first line by doc_id (null last) and line
     number stays, and all others go. short: shorter lines with a letter or digit are grouped too, by
     equality alone. n_near counts those that differ from the one that stays. h is the
-    key of the text; rows alike in id and text stand for one document.
+    key of the text; rows alike in id and text stand for one document. Lines are equal if two hashes, of 64
+    and of 32 bits, are: among 10^12 different lines, two would be taken for one with a chance near 10^-5.
     """
     classes = cut(connected_components(line_links(docs, edits, least, id_col=id_col, text_col=text_col, **options)))
     rows = _lines(docs, id_col, text_col, least, short).drop("line")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "nth", "id")
-    firsts = rows.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = rows.groupBy("id", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     known = firsts.join(classes, F.col("id") == F.col("node"), "left").where("n > 1 OR node IS NOT NULL")
-    known = cut(known.select("id", "first", F.coalesce("component", "id").alias("class")))
-    heads = cut(known.groupBy("class").agg(F.min("first").alias("head")))
-    known = cut(known.join(heads, "class").select(F.col("id").alias("of"), "head"))
-    gone = rows.join(known, F.col("id") == F.col("of")).where(
+    alone = F.when(F.col("component").isNull(), F.col("check"))
+    known = cut(known.select("id", "check", "first", F.coalesce("component", "id").alias("class"), F.coalesce(alone, F.lit(0)).alias("own")))
+    heads = cut(known.groupBy("class", "own").agg(F.min("first").alias("head")))
+    known = cut(known.join(heads, ["class", "own"]).select(F.col("id").alias("of"), F.col("check").alias("of_check"), "head"))
+    gone = rows.join(known, (F.col("id") == F.col("of")) & (F.col("check") == F.col("of_check"))).where(
         ~(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("nth") == F.col("head.nth")) & (F.col("id") == F.col("head.id")))
     )
     return gone.groupBy("doc_id", "h").agg(
@@ -224,11 +298,11 @@ def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str
     )
 
 
-def _without(text_col: str):
+def _without(text_col: str, lines_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            drop = batch.column(batch.schema.get_field_index("lines_gone")).to_pylist()
+            drop = batch.column(batch.schema.get_field_index(lines_col)).to_pylist()
             new, n_lines = [], []
             for text, gone in zip(batch.column(at).to_pylist(), drop, strict=True):
                 lines = None if text is None else text.split("\n")
@@ -255,10 +329,11 @@ def dedup_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str =
     ids come last in the order of documents; rows alike in id and text lose the same lines. Columns of
     docs named like a result column, in any case, give way to it.
     """
-    result = ("n_lines", "n_dropped", "n_near", "lines_gone")
+    result = ("n_lines", "n_dropped", "n_near")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in result])
-    gone = repeated_lines(docs, edits, least, id_col, text_col, **options).toDF("gone_id", "gone_h", "lines_gone", "n_near")
-    same = F.col(id_col).eqNullSafe(F.col("gone_id")) & (text_key(F.col(text_col)) == F.col("gone_h"))
-    rows = docs.join(gone, same, "left").select(*[F.col(f"`{c}`") for c in docs.columns], "lines_gone", F.coalesce("n_near", F.lit(0)).alias("n_near"))
+    names = [free_name(docs, c) for c in ("gone_id", "gone_h", "lines_gone")]
+    gone = repeated_lines(docs, edits, least, id_col, text_col, **options).toDF(*names, "n_near")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(names[0])) & (text_key(F.col(f"`{text_col}`")) == F.col(names[1]))
+    rows = docs.join(gone, same, "left").select(*[F.col(f"`{c}`") for c in docs.columns], names[2], F.coalesce("n_near", F.lit(0)).alias("n_near"))
     more = [T.StructField(c, T.LongType()) for c in ("n_lines", "n_dropped", "n_near")]
-    return arrow_map(rows, _without(text_col), T.StructType(docs.schema.fields + more))
+    return arrow_map(rows, _without(text_col, names[2]), T.StructType(docs.schema.fields + more))
