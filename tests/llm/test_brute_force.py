@@ -420,6 +420,41 @@ def test_line_dedup(docs):
         assert multiset((r.doc_id, r.text) for r in got) == multiset(want)
 
 
+def test_keys_that_many_lines_share_are_refined_and_lose_no_link(spark):
+    import random
+
+    r = random.Random(12)
+    head = "Copyright notice of the common start, "
+    lines = [head + "".join(r.choice("abcdefgh") for _ in range(14)) for _ in range(300)]
+    lines += [x[: r.randrange(len(x))] + r.choice("xyz") + x[r.randrange(len(x)) :] if i % 3 else x[:-1] for i, x in enumerate(lines[:60])]
+    lines += [x.replace("common", "comon") for x in lines[:40]] + [f"{head}page {i:04d} of many" for i in range(0, 400, 7)]
+    lines = sorted(set(lines))
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").repartition(3)
+    root = list(range(len(lines)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(lines):
+        for j in range(i):
+            if find(i) != find(j) and line_dedup.within(x, lines[j], 2):
+                root[find(i)] = find(j)
+    want = Counter(find(i) for i in range(len(lines)))
+    for levels in (3, 1):
+        links = line_dedup.line_links(docs, 2, 40, block=20, broadcast_ids=0 if levels == 1 else 1_000_000, levels=levels)
+        classes = Counter(x.component for x in line_dedup.connected_components(links).collect())
+        assert sorted(classes.values()) == sorted(n for n in want.values() if n > 1)
+
+
+def test_a_rest_is_cut_into_finer_keys():
+    parts = line_dedup._parts(7, line_dedup.INDEX | line_dedup.PROBE, 0, "abcdefghi", 2)
+    assert {(s, n) for _, role, s, n in parts if role & line_dedup.INDEX} == {(0, 3), (3, 3), (6, 3)}
+    assert not any(role & line_dedup.INDEX for _, role, _, _ in line_dedup._parts(7, line_dedup.PROBE, 1, "abcdefghi", 2))
+    assert len(line_dedup._parts(7, 3, 0, "ab", 2)) == 1
+
+
 def test_exact_copies_of_short_lines_go(spark):
     rows = [(1, "read more\n--\nshort line one"), (2, "read more\n--\nshort line two\nread more"), (None, "read more"), (4, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -554,6 +589,14 @@ def test_sharding_keeps_light_groups_and_splits_heavy_ones(spark):
     assert sized.agg(F.max("shard")).first()[0] in (7, 8)
 
 
+def test_rows_repeated_in_the_id_leave_the_one_of_the_least_text(spark):
+    rows = [(1, "b " * 9, "x"), (1, "a " * 9, "y"), (1, "a " * 9, "x"), (2, None, "z"), (None, "a " * 9, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {tuple(x) for x in simhash.drop_near_duplicates(docs).select("doc_id", "text").collect()}
+    assert got == {(1, "a " * 9), (2, None), (None, "a " * 9)}
+    assert simhash.drop_near_duplicates(docs).count() == 3
+
+
 EMPTY = "doc_id long, text string, lang string, source string, n_chars long"
 
 

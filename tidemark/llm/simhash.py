@@ -144,7 +144,9 @@ def simhash_components(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = cut(arrow_map(rows, _fingerprints("text", shingle, seed), "doc_id long, fp long"))
     fps = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    linked = cut(fingerprint_components(fps.select("fp"), radius).select(F.col("node").alias("fp"), "component"))
+    # Every fingerprint becomes as many rows as there are masks, so they are spread over all tasks first.
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // 500_000))
+    linked = cut(fingerprint_components(fps.select("fp").repartition(tasks, "fp"), radius).select(F.col("node").alias("fp"), "component"))
     known = cut(fps.join(linked, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")))
     least = cut(known.groupBy("component").agg(F.min("least").alias("component_id")))
     by_fp = cut(known.join(least, "component").select(F.col("fp").alias("of"), "component_id"))
@@ -152,12 +154,16 @@ def simhash_components(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of docs for each component: that of the least id; of rows repeated in the id, one.
+    """One row of docs for each component: that of the least id; of rows repeated in the id, that of the least text.
 
-    Rows whose id is null can't be named by a component; they are kept.
+    Rows alike in id and text go by a hash of all their columns. Rows whose id is null can't be named by a
+    component; they are kept. An empty table gives an empty one; a null text counts as empty.
     """
     found = simhash_components(docs, id_col=id_col, text_col=text_col, **options)
-    keep = free_name(docs, "keep")
+    keep, row = free_name(docs, "keep"), free_name(docs, "row")
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias(keep)).distinct()
-    named = docs.join(first, F.col(id_col) == F.col(keep), "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(F.col(f"`{text_col}`"), F.xxhash64(F.to_json(own)))
+    named = docs.join(first, F.col(f"`{id_col}`") == F.col(keep), "left_semi").groupBy(F.col(f"`{id_col}`").alias(keep)).agg(F.min_by(own, order).alias(row))
+    named = named.select(*[F.col(row)[c].alias(c) for c in docs.columns])
+    return named.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
