@@ -38,18 +38,20 @@ def good(text, bands):
 
 
 def without_repeated_lines(docs):
+    """Lines of 40 characters go if they are near an earlier one, shorter ones with a letter or digit if they equal one."""
     places = defaultdict(list)
     for doc, text in docs.items():
         for i, line in enumerate(text.split("\n")):
-            if len(line) >= 40:
+            if len(line) >= 40 or any(c.isalnum() for c in line):
                 places[line].append((doc, i))
     lines = sorted(places, key=lambda x: min(places[x]))
-    of = dict(zip(lines, classes(len(lines), lambda i, j: line_dedup.within(lines[i], lines[j], 2)), strict=True))
+    long = lambda i: len(lines[i]) >= 40
+    of = dict(zip(lines, classes(len(lines), lambda i, j: long(i) and long(j) and line_dedup.within(lines[i], lines[j], 2)), strict=True))
     stays = {min(places[lines[c]]) for c in of.values()}
     out = {}
     for doc, text in docs.items():
         new = "\n".join(x for i, x in enumerate(text.split("\n")) if x not in of or (doc, i) in stays)
-        if new == text or new.strip(" \n\t\r"):
+        if new == text or len(PLAIN.findall(new)) >= 50:
             out[doc] = new
     return out
 
@@ -78,3 +80,23 @@ def test_pipeline(spark, small):
     model = pieces.Pieces(queries.vocabulary("piece_bpe_32k.model"))
     assert 0 < len(got) < table.count() and all(r.exact and r.n_pieces == len(r.pieces) for r in got)
     assert len(got) == len(want) and {r.doc_id: model.decode(r.pieces) for r in got} == want
+
+
+def test_stages_on_edge_rows_and_an_empty_table(spark, small, edges):
+    docs = edges.select(*corpus_pipeline.COLUMNS)
+    long = docs.where("doc_id IN (4, 5, 6) OR doc_id IS NULL").withColumns({"doc_id": docs.doc_id + 100})
+    for table in (docs.unionByName(long), docs.limit(0)):
+        n = table.count()
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, table, small)
+            if k < len(corpus_pipeline.STAGES) - 1:
+                assert out.columns == list(corpus_pipeline.COLUMNS)
+                table = spark.createDataFrame(out.collect(), docs.schema)
+            assert out.count() <= n
+        assert (out.count() > 0) == (n > 0)
+
+
+def test_no_fragment_leaves_the_line_stage(spark, small):
+    out = corpus_pipeline.line_dedup(spark, corpus_pipeline.quality(spark, spark.read.parquet(f"{small}/documents.parquet"), small), small)
+    rows = out.collect()
+    assert rows and all(len(PLAIN.findall(r.text)) >= 50 and r.n_chars == len(r.text) for r in rows)
