@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
 again as the next one's docs. All but the last return the columns of documents.
+
+Null texts count as empty, so the quality rules reject them; null ids pass every stage, come last in the
+order of documents and are never near-duplicates. Repeated rows are one document: of exact copies the
+line stage leaves the first. Columns beyond those of documents are dropped at the first stage, and an
+empty table gives an empty one at each.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ensure_checkpoint_dir
+from tidemark.llm.common import ensure_checkpoint_dir, remove
 from tidemark.llm.decontam import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.pieces import encode_pieces
@@ -19,6 +24,8 @@ from tidemark.llm.quality import fit_bands, quality_rules
 from tidemark.llm.queries import table, vocabulary
 from tidemark.llm.simhash import drop_near_duplicates
 
+#: Words of a document that lost lines, as the quality rules ask of whole ones.
+LEAST_WORDS = 50
 #: Columns of documents, which n_chars belongs to: it is counted anew where the text changes.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,9 +37,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand elsewhere before; those with no line left go."""
-    found = dedup_lines(docs, edits=2, least=40)
-    kept = found.where("n_dropped = 0 OR length(trim(BOTH ' \\n\\t\\r' FROM text)) > 0")
+    """Documents without the lines that stand elsewhere before; those with under LEAST_WORDS words left go."""
+    found = dedup_lines(docs, edits=2, least=40, short=True)
+    words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    kept = found.where((F.col("n_dropped") == 0) | (words >= LEAST_WORDS))
     changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return kept.select("doc_id", "text", "lang", "source", changed.alias("n_chars"))
 
@@ -65,7 +73,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over documents. What stages hand over lies in the shared checkpoint folder."""
+    """The last stage's rows over documents. What stages hand over lies in the shared checkpoint folder until the next has read it."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
@@ -73,4 +81,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                remove(spark, f"{folder}/{k - 1}")
     return docs
