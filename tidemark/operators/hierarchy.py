@@ -1,21 +1,57 @@
-"""Adjacency lists: levels and the ancestor closure by recursive SQL."""
+"""Adjacency lists: levels and the ancestor closure.
+
+Both double the distance that is known in each round, so a tree of depth n takes log2(n) joins of
+checkpointed tables, whatever its depth or its rows. A recursion in SQL does what doubling can't: ways
+that are cut at a stated depth, and ids with several parents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .lineage import cut
 
 #: What SQL has to be given as the most levels. A tree that is deeper fails there; it is never cut.
 LEVELS = 1_000_000
 
 
+def _parents(nodes: DataFrame) -> tuple[DataFrame, bool]:
+    """(id, reports_to) without repeats, and whether an id has more than one parent."""
+    edges = cut(nodes.select("id", "reports_to").distinct())
+    return edges, not edges.groupBy("id").count().where("count > 1").isEmpty()
+
+
 def closure(nodes: DataFrame, depth: int | None = None) -> DataFrame:
     """(descendant, ancestor, distance >= 1) of an adjacency list (id, reports_to), however deep it is.
 
-    A way up ends where it comes to a node for the second time, so cycles end. Only where depth is given
-    are ways cut, at that distance, and cycles are followed up to it.
+    A way up ends where it comes to a node for the second time, so cycles end. Ancestors that are no nodes
+    are left out. Only where depth is given are ways cut, at that distance, and cycles are followed up to it.
     """
+    edges, several = _parents(nodes)
+    if depth is not None or several:
+        return _walked_up(edges, depth)
+    reach = cut(edges.where("reports_to IS NOT NULL").select(F.col("id").alias("descendant"), F.col("reports_to").alias("ancestor"), F.lit(1).cast("long").alias("distance")))
+    known = 1
+    while True:
+        far = reach.where(F.col("distance") == known).select("descendant", F.col("ancestor").alias("via"))
+        on = reach.select(F.col("descendant").alias("via"), "ancestor", (F.col("distance") + known).alias("distance"))
+        more = cut(far.join(on, "via").select("descendant", "ancestor", "distance"))
+        if more.isEmpty():
+            break
+        reach = reach.unionByName(more)
+        # A way comes back at the second place of an ancestor, or at the first of the node itself.
+        back = reach.groupBy("descendant", "ancestor").agg(F.array_sort(F.collect_list("distance")).alias("at"))
+        again = F.when(F.col("descendant") == F.col("ancestor"), F.get("at", F.lit(0))).otherwise(F.get("at", F.lit(1)))
+        ends = back.groupBy(F.col("descendant").alias("of")).agg(F.min(again).alias("end")).where("end IS NOT NULL")
+        reach = cut(reach.join(ends, F.col("descendant") == F.col("of"), "left").where("end IS NULL OR distance <= end").select("descendant", "ancestor", "distance"))
+        known *= 2
+    return reach.join(edges.select(F.col("id").alias("ancestor")), "ancestor", "left_semi").select("descendant", "ancestor", "distance")
+
+
+def _walked_up(edges: DataFrame, depth: int | None) -> DataFrame:
     goes_on = "NOT array_contains(up.trail, up.ancestor)" if depth is None else f"up.distance < {depth}"
-    return nodes.sparkSession.sql(
+    return edges.sparkSession.sql(
         f"""WITH RECURSIVE up(descendant, ancestor, distance, trail) MAX RECURSION LEVEL {LEVELS if depth is None else depth + 2} AS (
               SELECT id, reports_to, 1, array(id) FROM {{nodes}} WHERE reports_to IS NOT NULL
               UNION ALL
@@ -23,23 +59,44 @@ def closure(nodes: DataFrame, depth: int | None = None) -> DataFrame:
               FROM up JOIN {{nodes}} n ON n.id = up.ancestor
               WHERE n.reports_to IS NOT NULL AND {goes_on}
             )
-            SELECT up.descendant, up.ancestor, up.distance FROM up JOIN {{nodes}} a ON a.id = up.ancestor""",
-        nodes=nodes.select("id", "reports_to"),
+            SELECT up.descendant, up.ancestor, CAST(up.distance AS BIGINT) AS distance FROM up LEFT SEMI JOIN {{nodes}} a ON a.id = up.ancestor""",
+        nodes=edges,
     )
 
 
 def levels(nodes: DataFrame, depth: int | None = None) -> DataFrame:
-    """(id, level, path) from the roots down, to the last level or to depth. Nodes whose parent doesn't exist are in no tree and are left out.
-
-    A node that is its own ancestor (ids may repeat) is not entered again.
+    """(id, level, path) from the roots down, to the last level or to depth. Nodes whose parent doesn't exist are in no tree
+    and are left out, like those of a cycle. With several parents an id has a row for each way down, and is not entered again
+    below itself.
     """
+    edges, several = _parents(nodes)
+    if several:
+        found = _walked_down(edges, depth)
+    else:
+        known = cut(edges.select("id", F.col("reports_to").alias("up"), F.col("id").cast("string").alias("path"), F.lit(1).cast("long").alias("n")))
+        rooted = known.where("up IS NULL").count()
+        while True:
+            above = known.select(F.col("id").alias("via"), F.col("up").alias("next"), F.col("path").alias("before"), F.col("n").alias("more"))
+            # Nodes below a root are done; those that have lost their way drop out here.
+            on = known.where("up IS NOT NULL").join(above, F.col("up") == F.col("via"))
+            on = on.select("id", F.col("next").alias("up"), F.concat_ws("/", "before", "path").alias("path"), (F.col("n") + F.col("more")).alias("n"))
+            known = cut(known.where("up IS NULL").unionByName(on))
+            now = known.where("up IS NULL").count()
+            if now == rooted:  # no node of these levels, so none of a deeper one
+                break
+            rooted = now
+        found = known.where("up IS NULL").select("id", (F.col("n") - 1).alias("level"), "path")
+    return found if depth is None else found.where(F.col("level") <= depth)
+
+
+def _walked_down(edges: DataFrame, depth: int | None) -> DataFrame:
     goes_on = "NOT array_contains(down.trail, n.id)" if depth is None else f"down.level < {depth}"
-    return nodes.sparkSession.sql(
+    return edges.sparkSession.sql(
         f"""WITH RECURSIVE down(id, level, path, trail) MAX RECURSION LEVEL {LEVELS if depth is None else depth + 2} AS (
               SELECT id, 0, CAST(id AS STRING), array(id) FROM {{nodes}} WHERE reports_to IS NULL
               UNION ALL
               SELECT n.id, down.level + 1, concat(down.path, '/', n.id), array_append(down.trail, n.id)
               FROM down JOIN {{nodes}} n ON n.reports_to = down.id WHERE {goes_on}
-            ) SELECT id, level, path FROM down""",
-        nodes=nodes.select("id", "reports_to"),
+            ) SELECT id, CAST(level AS BIGINT) AS level, path FROM down""",
+        nodes=edges,
     )
