@@ -286,6 +286,28 @@ def test_plans_prune_push_and_stay_in_the_jvm(spark, wh):
     assert "TakeOrderedAndProject" in plan(cohorts.unified_merchant(wh)) or "TakeOrdered" in cohorts.unified_merchant(wh)._jdf.queryExecution().toString()
 
 
+def test_bounded_sales_cut_lines_before_they_are_shuffled(spark, small):
+    few, none = Warehouse(spark, small), Warehouse(spark, small, broadcast_keys=0)
+    since = AsOf().month_before.replace(day=1)
+    p = plan(few.sales(since=since))
+    scan = p.index("l_orderkey", p.index("FileScan parquet [l_orderkey")) if "FileScan parquet [l_orderkey" in p else p.rindex("l_orderkey")
+    above = p[:scan]
+    assert "BroadcastHashJoin" in above[above.rindex("Exchange hashpartitioning(k"):]
+    assert "LeftSemi" in p and sorted(map(tuple, few.sales(since=since).collect())) == sorted(map(tuple, none.sales(since=since).collect()))
+    whole = few.sales().where(f"month >= '{since:%Y-%m}'")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, few.sales(since=since).collect()))
+
+
+def test_a_deep_chain_takes_few_rounds(spark):
+    n = 300
+    nodes = spark.range(n).selectExpr("id", "IF(id = 0, NULL, id - 1) AS reports_to").coalesce(1)
+    assert hierarchy.closure(nodes).count() == n * (n - 1) // 2
+    got = hierarchy.levels(nodes).agg(F.count("*").alias("n"), F.max("level").alias("deepest"), F.max(F.length("path")).alias("path")).first()
+    assert (got.n, got.deepest, got.path) == (n, n - 1, len("/".join(map(str, range(n)))))
+    two = nodes.unionByName(spark.createDataFrame([(2, 0)], "id long, reports_to long")).where("id < 4")
+    assert {(r.id, r.level) for r in hierarchy.levels(two).collect()} == {(0, 0), (1, 1), (2, 1), (2, 2), (3, 2), (3, 3)}
+
+
 def test_entry_points(spark, small):
     import __spark_entry__ as entry
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from .sources.constants import (
+    COHORT_CURVE,
     CONTINENTS,
     FLAGGED,
     FUNNEL,
@@ -57,7 +58,7 @@ VIEWS = {
         CAST(round(o_totalprice) AS BIGINT) AS mrr, CASE o_orderkey % 5 WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' WHEN 3 THEN 'EUR' WHEN 4 THEN 'XXX' END AS currency,
         CAST(epoch(o_orderdate) AS BIGINT) AS created_at,
         CASE WHEN o_orderstatus = 'F' THEN CAST(epoch(o_orderdate) AS BIGINT) + 86400 * (o_orderkey % 20) END AS cancelled_at, o_orderkey % 53 = 0 AS deleted
-      FROM orders WHERE o_orderkey % 4 = 0""",
+      FROM orders""",
     "invoices": """SELECT CASE o_custkey % 2 WHEN 0 THEN 'EU' ELSE 'UK' END AS region, CASE o_custkey % 27 WHEN 0 THEN 'cb_' ELSE '' END || o_custkey AS customer_id,
         CAST(round(l_extendedprice * 100) AS BIGINT) AS total,
         CASE l_returnflag WHEN 'A' THEN 0 ELSE CAST(round(l_extendedprice * 100) AS BIGINT) END AS amount_due,
@@ -65,7 +66,7 @@ VIEWS = {
         CASE l_linenumber WHEN 2 THEN 'XXX' WHEN 3 THEN 'EUR' WHEN 4 THEN 'USD' END AS currency,
         CASE l_returnflag WHEN 'A' THEN 'paid' WHEN 'N' THEN 'payment_due' ELSE 'voided' END AS status,
         CAST(epoch(l_shipdate) AS BIGINT) AS date, l_orderkey % 59 = 0 AS deleted
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <= 4""",
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx": f"""SELECT currency, CAST(rate AS DECIMAL(9,8)) AS rate, minor_units,
         CAST(CAST(rate AS DECIMAL(18,12)) / 100 AS DECIMAL(18,12)) AS per_cent,
         CAST(CAST(rate AS DECIMAL(18,12)) / CASE minor_units WHEN 0 THEN 1 ELSE 100 END AS DECIMAL(18,12)) AS per_minor
@@ -173,9 +174,9 @@ VIEWS = {
     "statuses": """SELECT *, CASE label WHEN 'Disabled' THEN 'disabled' WHEN 'Never run' THEN 'pending' WHEN 'Healthy' THEN 'healthy' ELSE 'failed' END AS status FROM labelled""",
     "people": """SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 5 = 0 THEN 'agent' ELSE 'human' END AS type,
         CASE WHEN c_custkey = 0 THEN NULL WHEN c_custkey % 37 = 0 THEN 999999 ELSE (c_custkey - 1) // 4 END AS reports_to,
-        CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment END AS department, CASE WHEN c_custkey % 3 = 0 THEN 'contractor' ELSE 'employee' END AS employment_type FROM customer WHERE c_custkey < 150""",
+        CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment END AS department, CASE WHEN c_custkey % 3 = 0 THEN 'contractor' ELSE 'employee' END AS employment_type FROM customer""",
     "up": """SELECT id AS descendant, reports_to AS ancestor, 1 AS distance FROM people WHERE reports_to IS NOT NULL
-      UNION ALL SELECT descendant, p.reports_to, distance + 1 FROM up JOIN people p ON p.id = up.ancestor WHERE p.reports_to IS NOT NULL AND distance < 50""",
+      UNION ALL SELECT descendant, p.reports_to, distance + 1 FROM up JOIN people p ON p.id = up.ancestor WHERE p.reports_to IS NOT NULL""",
     "down": """SELECT id, CAST(0 AS BIGINT) AS level, CAST(id AS VARCHAR) AS path FROM people WHERE reports_to IS NULL
       UNION ALL SELECT p.id, level + 1, path || '/' || p.id FROM down JOIN people p ON p.reports_to = down.id""",
     "actions": """SELECT 'A-' || strftime(o_orderdate, '%y%m%d') || '-' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') AS id, 'owner_' || o_custkey % 4 AS owner, strftime(o_orderdate, '%Y-%m-%d') AS due,
@@ -236,14 +237,90 @@ def _delta(v: str, base: str, n: int) -> str:
 
 ACTIVE_NOW = "CASE WHEN latest_active > 0 AND active_users < latest_active * 0.75::DOUBLE THEN latest_active ELSE CAST(active_users AS DOUBLE) END"
 GTV_NOW = "CASE WHEN coalesce(total_gtv, 0) = 0 THEN 25.8::DOUBLE ELSE total_gtv END"
+VIEWS |= {
+    "repaired": f"""SELECT total_revenue, {_delta('total_revenue', '7.6', 1)} AS total_revenue_delta, CAST(payment_revenue AS DOUBLE) AS payment_revenue, arpc, {ACTIVE_NOW} AS active_users,
+        {_delta(f'({ACTIVE_NOW})', '278000', 0)} AS active_users_delta, {GTV_NOW} AS total_gtv, {_delta(f'({GTV_NOW})', '23.4', 0)} AS total_gtv_delta,
+        coalesce(nullif(monthly_churn, 0), 2.1::DOUBLE) AS monthly_churn, coalesce(nullif(annual_churn, 0), 22::DOUBLE) AS annual_churn, nrr, gross_margin, registered, paying, payments_enabled
+      FROM kpis CROSS JOIN latest""",
+    "aging": f"""SELECT cohort AS cohort_month, age AS age_months, n AS registrations, active AS active_merchants, {R('100.0::DOUBLE * active / n', 1)} AS retention_pct, {R('revenue', 0)} AS revenue_eur,
+        {R('sum(revenue) OVER (PARTITION BY cohort ORDER BY age ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 0)} AS cumulative_revenue_eur,
+        {R('revenue / nullif(active, 0)', 2)} AS revenue_per_active_eur, {R('gtv / 1000', 1)} AS gtv_k_eur
+      FROM cells JOIN (SELECT cohort, count(*) AS n FROM base GROUP BY 1) USING (cohort) WHERE age BETWEEN 0 AND 120""",
+    "flagged": f"""SELECT country, CASE WHEN country IN ({", ".join(f"'{c}'" for c in FLAGGED)}) THEN chr(127462 + ascii(country) - 65) || chr(127462 + ascii(substr(country, 2)) - 65) ELSE '' END AS flag,
+        gtv_millions AS gtv, merchant_count AS merchants, avg_gtv_per_merchant AS avg_gtv FROM markets""",
+    "labeled": f"""SELECT key, label, current_value AS value, {fixed('nullif(conversion_rate, 0)', 1)} || '%' AS conv_rate, target, stage_order
+      FROM funnel JOIN (VALUES {rows([(s, label, key) for s, _, label, key in FUNNEL])}) AS k(stage, label, key) USING (stage)""",
+    "economics": """SELECT month AS cohort_month, npv AS avg_npv, ltv AS avg_ltv, floor(npv * 1.2::DOUBLE + 0.5::DOUBLE) AS cohort_payments FROM vintages ORDER BY month LIMIT 1""",
+    "diagnosed": """SELECT 'active_users' AS source, month AS period, count(*) AS row_count, CAST(count(DISTINCT merchant_id) AS DOUBLE) AS metric_value FROM sales WHERE month >= '2001-01' GROUP BY month
+      UNION ALL SELECT 'gtv_currency', coalesce(currency, 'NULL'), count(*), CAST(sum(total_money) AS DOUBLE) FROM eur_receipts WHERE d >= DATE '2001-06-15' GROUP BY currency
+      UNION ALL SELECT 'gtv_null_pct', 'null_vs_total', count(*) FILTER (currency IS NULL), CAST(count(*) AS DOUBLE) FROM eur_receipts WHERE d >= DATE '2001-06-15'""",
+    "invoiced": """SELECT 'eu_invoices' AS source, count(*) AS total_rows, count(*) FILTER (y = 2001) AS current_year_rows, CAST(sum(CASE WHEN y = 2001 THEN total ELSE 0 END) AS BIGINT) AS current_year_amount,
+        min(t) AS min_date, max(t) AS max_date FROM (SELECT total, make_timestamp(date * 1000000) AS t, year(make_timestamp(date * 1000000)) AS y FROM invoices
+        WHERE region = 'EU' AND status IN ('paid', 'payment_due') AND NOT deleted)""",
+    "sampled": """SELECT amount_due, amount_paid, total, currency AS currency_code, status, make_timestamp(date * 1000000) AS invoice_date FROM invoices
+      WHERE region = 'EU' AND status IN ('paid', 'payment_due') AND NOT deleted AND year(make_timestamp(date * 1000000)) = 2001
+      ORDER BY invoice_date DESC, total DESC, amount_due, currency NULLS LAST LIMIT 5""",
+    "revenue_plan": _projection(REVENUE_PROJECTION, "year, addon_revenue, payment_revenue, new_pricing_revenue"),
+    "gtv_plan": _projection(GTV_PROJECTION, "year, gtv_billions"),
+}
+
+
+def _cells(section: str, source: str, key: str, numbers: str = "", texts: str = "") -> str:
+    """A row for each value of each row of a source."""
+    n, t = ([c for c in x.split() if c] for x in (numbers, texts))
+    listed = lambda xs: "[" + ", ".join(xs) + "]"
+    return (
+        f"SELECT '{section}' AS section, {key} AS key, unnest({listed(repr(c) for c in n + t)}) AS metric,"
+        f" unnest({listed([f'CAST({c} AS DOUBLE)' for c in n] + ['CAST(NULL AS DOUBLE)'] * len(t))}) AS number,"
+        f" unnest({listed(['CAST(NULL AS VARCHAR)'] * len(n) + [f'CAST({c} AS VARCHAR)' for c in t])}) AS text FROM {source}"
+    )
+
+
+VINTAGE = "merchants active_now active_pct paying_now paying_pct active_to_paying_pct mrr arr arpc gtv_30d gtv_alltime revenue_alltime npv ltv cancelled_30d churn_rate_30d cohort_age_months payment_pct"
+SERIES = " ".join(f"{s}_{m}" for s in ("revenue", "payment_revenue", "arpc", "active_users", "gtv") for m in ("target", "actual"))
+DOCUMENT = " UNION ALL ".join(
+    (
+        _cells("kpis", "repaired", "''", "total_revenue payment_revenue arpc active_users total_gtv monthly_churn annual_churn nrr gross_margin registered paying payments_enabled", "total_revenue_delta active_users_delta total_gtv_delta"),
+        _cells("monthly", "complete", "month", SERIES),
+        _cells("incomplete_months", "complete WHERE nulled", "month", "", "month").replace("['month']", "['incomplete_months']"),
+        _cells("funnel", "labeled", "key", "value target stage_order", "label conv_rate"),
+        _cells("cohort_vintages", "vintages", "month", VINTAGE),
+        _cells("unit_economics", "economics", "''", "avg_npv avg_ltv cohort_payments", "cohort_month"),
+        _cells("cohort_aging", "aging", "cohort_month || '|' || age_months", "registrations active_merchants retention_pct revenue_eur cumulative_revenue_eur revenue_per_active_eur gtv_k_eur"),
+        _cells("top_markets", "flagged", "country", "gtv merchants avg_gtv", "flag"),
+        _cells("country_weights", "weights", "country_code", "weight"),
+        _cells("revenue_projection", "revenue_plan", "CAST(year AS VARCHAR)", "addon_revenue payment_revenue new_pricing_revenue"),
+        _cells("gtv_projection", "gtv_plan", "CAST(year AS VARCHAR)", "gtv_billions"),
+        _cells("diagnostics", "diagnosed", "source || '|' || period", "row_count metric_value"),
+        _cells("revenue_diag", "invoiced", "source", "total_rows current_year_rows current_year_amount", "min_date max_date"),
+        _cells("revenue_sample", "sampled", "CAST(invoice_date AS VARCHAR) || '|' || total", "amount_due amount_paid", "currency_code status"),
+        _cells("cohort_curve", f"(VALUES {rows(COHORT_CURVE)}) AS t(month, retention, contribution)", "CAST(month AS VARCHAR)", "retention contribution"),
+        *(f"SELECT '{k}', '', '{k}', CAST(NULL AS DOUBLE), '{v}'" for k, v in (("last_updated", "2001-07-15"), ("period", "Q3 2001"), ("data_status", "ACTUAL"), ("reviews", "42 reviews"))),
+    )
+)
 BODIES = {
+    "dashboard_document": DOCUMENT,
+    "agg_map_weights": "SELECT * FROM weights",
+    "funnel_fallback": f"""SELECT key, label, CAST(v AS BIGINT) AS value, CASE WHEN rate IS NULL THEN NULL WHEN v > 0 AND b > 0 THEN {fixed('v * 100 / b', 1)} || '%' ELSE rate END AS conv_rate,
+        CAST(goal AS BIGINT) AS target, CAST(stage_order AS BIGINT) AS stage_order
+      FROM repaired, LATERAL (VALUES {", ".join(f"({quoted(key)}, {quoted(label)}, {goal}, {i + 1}, CAST({now} AS DOUBLE), CAST({before} AS DOUBLE), {rate})" for i, ((_, goal, label, key), now, before, rate) in enumerate(zip(FUNNEL, ("registered", "active_users", "paying", "payments_enabled"), ("NULL", "registered", "active_users", "paying"), ("CAST(NULL AS VARCHAR)", "'8.0%'", "'3.0%'", "'3.0%'"), strict=True)))}) AS t(key, label, goal, stage_order, v, b, rate)""",
+    "console_summary": f"""SELECT CAST(position AS BIGINT) AS position, rpad(name || ':', 17, ' ') || value AS line FROM repaired, latest,
+        (SELECT count(*) AS vintages FROM vintages), (SELECT least(count(*), 1000) AS unified FROM base), (SELECT count(*) AS aged FROM aging), (SELECT count(revenue_actual) AS filled FROM complete), (SELECT count(*) AS top FROM markets),
+        LATERAL (VALUES (1, 'dataStatus', 'ACTUAL'), (2, 'lastUpdated', '2001-07-15'), (3, 'totalRevenue', '€' || {fixed('total_revenue', 2)} || 'M'), (4, 'activeUsers', format('{{:,}}', CAST(active_users AS BIGINT))),
+          (5, 'registered', format('{{:,}}', registered)), (6, 'paying', format('{{:,}}', paying)), (7, 'ARPC', '€' || {fixed('arpc', 2)} || '/mo'), (8, 'Monthly churn', {fixed('monthly_churn', 1)} || '%'),
+          (9, 'Cohort vintages', CAST(vintages AS VARCHAR)), (10, 'Unified merch', unified || ' rows'), (11, 'Cohort aging', aged || ' rows'), (12, 'Top markets', CAST(top AS VARCHAR)), (13, 'Monthly actuals', filled || '/12 months filled')) AS t(position, name, value)""",
+    "market_filtered_sorted": """SELECT name, continent, psp, formal, tam_rev, row_number() OVER (ORDER BY formal, name) AS place FROM sized WHERE scenario = 'c' AND served AND psp IN ('P', 'B') AND contains(lower(name), 'a')""",
+    "catalog_namespaces": "SELECT 'default' AS namespace",
+    "catalog_samples": "SELECT 'nation' AS table_name, concat_ws('|', n_nationkey, n_name, n_regionkey) AS row FROM nation UNION ALL SELECT 'region', concat_ws('|', r_regionkey, r_name) FROM region",
+    "catalog_columns": " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, column_name, regexp_replace(CASE replace(column_type, '[]', '') WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(replace(column_type, '[]', '')) END,
+        '(.+)', CASE WHEN column_type LIKE '%[]' THEN 'array<\\1>' ELSE '\\1' END) AS data_type, "null" = 'YES' AS nullable, row_number() OVER () - 1 AS position FROM (DESCRIBE {t})"""
+        for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+    ),
     "kpis": "SELECT * FROM kpis",
     "monthly": "SELECT * FROM monthly",
     "cohorts": "SELECT * FROM cohorts",
-    "cohort_aging": f"""SELECT cohort AS cohort_month, age AS age_months, n AS registrations, active AS active_merchants, {R('100.0::DOUBLE * active / n', 1)} AS retention_pct, {R('revenue', 0)} AS revenue_eur,
-        {R('sum(revenue) OVER (PARTITION BY cohort ORDER BY age ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 0)} AS cumulative_revenue_eur,
-        {R('revenue / nullif(active, 0)', 2)} AS revenue_per_active_eur, {R('gtv / 1000', 1)} AS gtv_k_eur
-      FROM cells JOIN (SELECT cohort, count(*) AS n FROM base GROUP BY 1) USING (cohort) WHERE age BETWEEN 0 AND 120""",
+    "cohort_aging": "SELECT * FROM aging",
     "unified_merchant": f"""SELECT m.merchant_id, merchant_uuid, country, email, m.created_at AS registered_at, strftime(m.created_at, '%Y-%m') AS cohort_month, subscription_id, status AS sub_status,
         region AS billing_region, {R("CAST(mrr AS DECIMAL(18,0)) * coalesce(per_cent, 0.01::DECIMAL(18,12))", 2)} AS mrr_eur, b.currency AS currency_code, b.created_at AS sub_created_at, cancelled_at AS sub_cancelled_at,
         a.merchant_id IS NOT NULL AS is_active_30d, coalesce(status = 'active', false) AS is_paying, coalesce(status = 'cancelled' AND cancelled_at IS NOT NULL, false) AS is_churned,
@@ -259,30 +336,19 @@ BODIES = {
       WHERE d >= DATE '2001-06-15' GROUP BY country""",
     "country_weights": "SELECT * FROM weights",
     "funnel": "SELECT * FROM funnel",
-    "diagnostics": """SELECT 'active_users' AS source, month AS period, count(*) AS row_count, CAST(count(DISTINCT merchant_id) AS DOUBLE) AS metric_value FROM sales WHERE month >= '2001-01' GROUP BY month
-      UNION ALL SELECT 'gtv_currency', coalesce(currency, 'NULL'), count(*), CAST(sum(total_money) AS DOUBLE) FROM eur_receipts WHERE d >= DATE '2001-06-15' GROUP BY currency
-      UNION ALL SELECT 'gtv_null_pct', 'null_vs_total', count(*) FILTER (currency IS NULL), CAST(count(*) AS DOUBLE) FROM eur_receipts WHERE d >= DATE '2001-06-15'""",
-    "revenue_diag": """SELECT 'eu_invoices' AS source, count(*) AS total_rows, count(*) FILTER (y = 2001) AS current_year_rows, CAST(sum(CASE WHEN y = 2001 THEN total ELSE 0 END) AS BIGINT) AS current_year_amount,
-        min(t) AS min_date, max(t) AS max_date FROM (SELECT total, make_timestamp(date * 1000000) AS t, year(make_timestamp(date * 1000000)) AS y FROM invoices
-        WHERE region = 'EU' AND status IN ('paid', 'payment_due') AND NOT deleted)""",
-    "revenue_sample": """SELECT amount_due, amount_paid, total, currency AS currency_code, status, make_timestamp(date * 1000000) AS invoice_date FROM invoices
-      WHERE region = 'EU' AND status IN ('paid', 'payment_due') AND NOT deleted AND year(make_timestamp(date * 1000000)) = 2001
-      ORDER BY invoice_date DESC, total DESC, amount_due, currency NULLS LAST LIMIT 5""",
-    "revenue_projection": _projection(REVENUE_PROJECTION, "year, addon_revenue, payment_revenue, new_pricing_revenue"),
-    "gtv_projection": _projection(GTV_PROJECTION, "year, gtv_billions"),
+    "diagnostics": "SELECT * FROM diagnosed",
+    "revenue_diag": "SELECT * FROM invoiced",
+    "revenue_sample": "SELECT * FROM sampled",
+    "revenue_projection": "SELECT * FROM revenue_plan",
+    "gtv_projection": "SELECT * FROM gtv_plan",
     "monthly_dense": "SELECT * FROM dense",
     "incomplete_months": "SELECT * FROM complete",
     "last_complete_month": "SELECT * FROM latest",
-    "kpi_repaired": f"""SELECT total_revenue, {_delta('total_revenue', '7.6', 1)} AS total_revenue_delta, CAST(payment_revenue AS DOUBLE) AS payment_revenue, arpc, {ACTIVE_NOW} AS active_users,
-        {_delta(f'({ACTIVE_NOW})', '278000', 0)} AS active_users_delta, {GTV_NOW} AS total_gtv, {_delta(f'({GTV_NOW})', '23.4', 0)} AS total_gtv_delta,
-        coalesce(nullif(monthly_churn, 0), 2.1::DOUBLE) AS monthly_churn, coalesce(nullif(annual_churn, 0), 22::DOUBLE) AS annual_churn, nrr, gross_margin, registered, paying, payments_enabled
-      FROM kpis CROSS JOIN latest""",
+    "kpi_repaired": "SELECT * FROM repaired",
     "cohort_vintages": "SELECT * FROM vintages",
-    "top_markets_flagged": f"""SELECT country, CASE WHEN country IN ({", ".join(f"'{c}'" for c in FLAGGED)}) THEN chr(127462 + ascii(country) - 65) || chr(127462 + ascii(substr(country, 2)) - 65) ELSE '' END AS flag,
-        gtv_millions AS gtv, merchant_count AS merchants, avg_gtv_per_merchant AS avg_gtv FROM markets""",
-    "funnel_labeled": f"""SELECT key, label, current_value AS value, {fixed('nullif(conversion_rate, 0)', 1)} || '%' AS conv_rate, target, stage_order
-      FROM funnel JOIN (VALUES {rows([(s, label, key) for s, _, label, key in FUNNEL])}) AS k(stage, label, key) USING (stage)""",
-    "unit_economics": """SELECT month AS cohort_month, npv AS avg_npv, ltv AS avg_ltv, floor(npv * 1.2::DOUBLE + 0.5::DOUBLE) AS cohort_payments FROM vintages ORDER BY month LIMIT 1""",
+    "top_markets_flagged": "SELECT * FROM flagged",
+    "funnel_labeled": "SELECT * FROM labeled",
+    "unit_economics": "SELECT * FROM economics",
     "scan_constant_fx": "SELECT currency, CAST(rate AS DOUBLE) AS rate, CAST(minor_units AS BIGINT) AS minor_units FROM fx",
     "values_targets": "SELECT * FROM targets",
     "scan_quoted": "SELECT status, count(*) AS n FROM subscriptions WHERE region = 'EU' GROUP BY status",

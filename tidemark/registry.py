@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .plans import cohorts, headline, markets, market_model, operations, postprocess
+from .plans import cohorts, headline, market_model, markets, operations, postprocess, report
 from .plans.primitives import PRIMITIVES
 from .sources import catalog
 from .sources.params import AsOf
@@ -47,7 +47,10 @@ POST = (
     postprocess.top_markets_flagged,
     postprocess.funnel_labeled,
     postprocess.unit_economics,
-    postprocess.dashboard_document,
+    report.dashboard_document,
+    report.agg_map_weights,
+    report.funnel_fallback,
+    report.console_summary,
 )
 OPERATIONS = (
     operations.task_status,
@@ -73,6 +76,7 @@ MARKET = (
     market_model.market_scenarios,
     market_model.market_country_table,
     market_model.market_export,
+    report.market_filtered_sorted,
 )
 
 
@@ -88,10 +92,11 @@ def queries(as_of: AsOf = AsOf()) -> dict[str, Query]:
     found: dict[str, Query] = {name: _dated(f, as_of) for name, f in PULL.items()}
     found |= {f.__name__: _dated(f, as_of) for f in (*POST, *OPERATIONS, *PRIMITIVES)}
     found |= {f.__name__: _plain(f) for f in MARKET}
-    found["agg_map_weights"] = lambda spark, sf_dir: postprocess.weights_map(markets.country_weights(Warehouse(spark, sf_dir), as_of))
     found["org_first_root"] = lambda spark, sf_dir: operations.first_root(Warehouse(spark, sf_dir))
     found["catalog_columns"] = catalog.catalog_columns
     found["catalog_row_counts"] = catalog.catalog_row_counts
+    found["catalog_namespaces"] = catalog.namespaces
+    found["catalog_samples"] = catalog.catalog_samples
     return found
 
 

@@ -59,6 +59,20 @@ def catalog_namespaces(spark: SparkSession, hidden: tuple[str, ...] = ("informat
     return sorted(d.name for d in spark.catalog.listDatabases() if d.name.lower() not in hidden)
 
 
+def namespaces(spark: SparkSession, sf_dir: str = "") -> DataFrame:
+    """(namespace) of the session's catalog."""
+    return spark.createDataFrame([(n,) for n in catalog_namespaces(spark)], "namespace string")
+
+
+def catalog_samples(spark: SparkSession, sf_dir: str, only: tuple[str, ...] = ("nation", "region"), rows: int = 25) -> DataFrame:
+    """(table_name, row): up to `rows` sample rows of each table, their values joined by |; which ones is up to the reader."""
+    one = []
+    for t in only:
+        df = catalog_sample(spark, sf_dir, t, rows)
+        one.append(df.select(F.lit(t).alias("table_name"), F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns]).alias("row")))
+    return reduce(DataFrame.unionByName, one)
+
+
 def register_views(spark: SparkSession, sf_dir: str, only: tuple[str, ...] = TABLES) -> None:
     """Temporary views of the driver's tables, for SQL by name."""
     for t in only:

@@ -58,7 +58,7 @@ def people(wh: Warehouse) -> DataFrame:
     """id, name, type, reports_to, department, employment_type: four reports each, some orphans, agents among humans."""
     k = F.col("c_custkey")
     boss = F.when(k == 0, None).when(k % 37 == 0, F.lit(999999)).otherwise(F.floor((k - 1) / 4)).cast("long")
-    return wh.table("customer").where(k < 150).select(
+    return wh.table("customer").select(
         k.alias("id"),
         F.col("c_name").alias("name"),
         F.when(k % 5 == 0, "agent").otherwise("human").alias("type"),
