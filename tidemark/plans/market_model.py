@@ -155,6 +155,7 @@ def market_country_table(wh: Warehouse, model: Model = Model(), scenario: str =
     return sorted_by(filtered(market_rows(wh, model, scenario), **filters), column, descending)
 
 
+#: Headings of the exported table.
 EXPORT = ("Country", "Continent", "Served", "Tier", "Formal SMBs", "Informal SMBs", "GTV TAM", "TPV TAM", "Revenue TAM", "Revenue SAM", "Revenue SOM", "Digital %", "PSP", "SMB Source")
 
 

@@ -70,6 +70,7 @@ TARGETS = (
     (11, 0.95, 395000),
     (12, 0.97, 400000),
 )
+#: Abbreviations of the months.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 #: Year, add-on, payment and new-pricing revenue (EUR million).
 REVENUE_PROJECTION = (
@@ -129,6 +130,7 @@ PROVIDERS = (("S", "Stripe"), ("P", "Partner"), ("B", "Stripe+Teya"), ("N/A", "N
 #: Cadence of a task and the hours after which it is overdue; others as weekly.
 CADENCE_HOURS = (("daily", 26), ("weekday", 74))
 WEEKLY_HOURS, GRACE_HOURS = 170, 2
+#: Number words from 0.
 NUMBER_WORDS = ("Zero", "One", "Two", "Three", "Four", "Five", "Six", "Seven", "Eight", "Nine", "Ten", "Eleven", "Twelve")
 #: Labels of initiatives; any other is general strategy.
 INITIATIVES = (("payments", "Payments"), ("pricing", "Pricing"), ("partnerships", "Partnerships"))
