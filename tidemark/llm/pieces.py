@@ -267,7 +267,11 @@ def encode_pieces(docs: DataFrame, model: bytes, text_col: str = "text", check:
 
 
 def decode_pieces(docs: DataFrame, model: bytes, pieces_col: str = "pieces", out_col: str = "text") -> DataFrame:
-    """docs with out_col: the text of the ids in pieces_col; null ids give null."""
+    """docs with out_col: the text of the ids in pieces_col; null ids give null and no ids an empty text.
+
+    One map over the rows: repeated rows get the same text, and an empty table gives an empty one. A column
+    of docs named like out_col, in any case, gives way to it.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != out_col.lower()])
 

@@ -217,7 +217,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", least_novelty: float =
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
-    """The text with every span replaced by its kind in brackets; of overlapping spans the first wins."""
+    """The text with every span replaced by its kind in brackets; of overlapping spans the first wins. No spans: the text itself."""
     out, at = [], 0
     for kind, s, e in sorted(spans, key=lambda x: x[1]):
         if s >= at:
