@@ -11,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.lineage import cut
+from ..operators.lineage import shared_folder as ensure_checkpoint_dir
+
 #: Bytes of a word that is `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after lower-casing A-Z; every other byte
 #: becomes a space. Bytes from 0x80 belong to words, so the rule holds on UTF-8 as on code points.
 ALNUM_LOWER = bytes(
@@ -22,6 +25,12 @@ NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+__all__ = [
+    "ALNUM_LOWER", "LOWER_ASCII", "NOT_ALNUM", "alnum_words", "arrow_map", "connected_components", "cut", "ensure_checkpoint_dir",
+    "free_name", "in_blocks", "modest", "remove", "ship", "text_key", "texts",
+]
+
+
 def alnum_words(text: bytes) -> list[bytes]:
     """Lower-cased words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of a UTF-8 text."""
     return text.translate(ALNUM_LOWER).split()
@@ -41,33 +50,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir. Where none is set, a local session gets one of its own; a cluster must name it."""
-    sc = spark.sparkContext
-    conf = sc.getConf().get("spark.checkpoint.dir")
-    if conf:
-        if not sc._jsc.sc().getCheckpointDir().isDefined():
-            sc.setCheckpointDir(conf)
-        return conf
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set; it must name a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of ours in the shared folder, once nothing reads it any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Computes df once and cuts its lineage by a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def modest(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """df for a join: broadcast if it was counted to have at most so many rows, else as it is. df: short rows, checkpointed."""
     return F.broadcast(df) if df.count() <= rows else df
