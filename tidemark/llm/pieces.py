@@ -50,6 +50,7 @@ class Pieces:
         for i in plain:
             self.automaton.add_word(names[i], (len(names[i]), score[i], i))
         self.automaton.make_automaton()
+        self.names = names
         self.single = {names[i] for i in plain if len(names[i]) == 1}
         self.cuttable = not any(_ACROSS.search(names[i]) for i in plain)
         self.surface = [b""] * len(names)
@@ -152,8 +153,50 @@ class MergedPieces(Pieces):
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         if any(sp.is_unused(i) for i in range(sp.vocab_size())) or 4 in piece_types(model):
             raise ValueError("BPE models with unused or user-defined pieces are not supported")
+        #: Whether a piece (first key -1) stays as it is by itself, and whether two pieces stay apart side by side.
+        self.fits: dict[int, bool] = {}
 
     def segment(self, text: str) -> tuple[int, ...]:
+        """Ids by one pass of the automaton.
+
+        Merging leaves a row of pieces as it is exactly if it leaves each two neighbours so. Hence one of the
+        pieces that end at a position, which the output links list, is the last of its prefix: the one that
+        stays apart from the last piece of the prefix before it. Which pieces do is kept in a table.
+        """
+        if not self.single.issuperset(text):
+            return self.merged(text)
+        n = len(text)
+        ids, starts = [-1] * (n + 1), [0] * (n + 1)
+        known = self.fits.get
+        for last, (size, _, piece) in self.automaton.iter(text):
+            end = last + 1
+            if ids[end] >= 0:
+                continue
+            start = end - size
+            before = ids[start]  # -1 at the start of the text
+            if before < 0 and start:
+                continue
+            fits = known(before << 24 | piece)
+            if fits is None:
+                fits = self._fit(before, piece)
+            if fits:
+                ids[end], starts[end] = piece, start
+        out = []
+        at = n
+        while at:
+            out.append(ids[at])
+            at = starts[at]
+        out.reverse()
+        return tuple(out)
+
+    def _fit(self, before: int, piece: int) -> bool:
+        both = (before, piece) if before >= 0 else (piece,)
+        if len(self.fits) >= 2 * self.cache_size:
+            self.fits.clear()
+        fits = self.fits[before << 24 | piece] = self.merged("".join(self.names[i] for i in both)) == both
+        return fits
+
+    def merged(self, text: str) -> tuple[int, ...]:
         """Ids after merging, again and again, the neighbours whose piece has the best score; of equal ones the leftmost."""
         n = len(text)
         # at[start, end]: score and id of the pieces that the text holds; only these can come of a merge.
