@@ -19,6 +19,7 @@ from .quality import fit_bands, quality_rules
 from .secret_scan import frequent_words, scan_secrets
 from .simhash import simhash_components
 from .token_counts import count_document_tokens
+from .turn_repair import all_conversations, damage, repair_report
 
 #: Folder of public vocabulary files; a parameter of every query that reads one.
 TOKENIZERS = "/opt/tokenizers"
@@ -152,6 +153,11 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return all_conversations(repair_report(damage(turns), copies="copies"), turns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -163,5 +169,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_kd_sharding": op9_kd_sharding,
     "op10_private_data": op10_private_data,
+    "op11_turn_repair": op11_turn_repair,
 }
 SQL: dict[str, str] = {"op2_decontamination": OP2_SQL}
