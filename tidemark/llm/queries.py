@@ -13,6 +13,7 @@ from .decontam import decontaminate, items_digest
 from .kd_sharding import category, kd_shards, magnitude
 from .license_scan import scan_licenses
 from .line_dedup import dedup_lines
+from .minhash import minhash_components
 from .pieces import encode_pieces
 from .private_data import KINDS, sanitise
 from .quality import fit_bands, quality_rules
@@ -158,6 +159,30 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_conversations(repair_report(damage(turns), copies="copies"), turns)
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_components(table(spark, sf_dir, "documents"), shingle=4, per_cent=80)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 0) + 2), lambda s: array_to_string(w[s : s + 3], ' ')))) AS g FROM d WHERE len(w) > 0
+), classes AS (SELECT min(doc_id) AS c, g, len(g) AS n FROM sets GROUP BY g),
+grams AS (SELECT c, n, unnest(g) AS gram FROM classes),
+links AS (
+  SELECT a.c AS a, b.c AS b FROM grams a JOIN grams b ON a.gram = b.gram AND a.c <> b.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT c, c AS r FROM classes UNION SELECT reach.c, links.b FROM reach JOIN links ON links.a = reach.r
+), least AS (SELECT c, min(r) AS component_id FROM reach GROUP BY c)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+  coalesce(component_id, d.doc_id) = d.doc_id AS kept
+FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN classes USING (g) LEFT JOIN least USING (c)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -170,5 +195,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_kd_sharding": op9_kd_sharding,
     "op10_private_data": op10_private_data,
     "op11_turn_repair": op11_turn_repair,
+    "op12_minhash": op12_minhash,
 }
-SQL: dict[str, str] = {"op2_decontamination": OP2_SQL}
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op12_minhash": OP12_SQL}
