@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import mine_collocations
 from .decontam import decontaminate, items_digest
 from .kd_sharding import category, kd_shards, magnitude
 from .license_scan import scan_licenses
@@ -165,7 +166,8 @@ def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP12_SQL = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w
   FROM documents
 ), sets AS (
   SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 0) + 2), lambda s: array_to_string(w[s : s + 3], ' ')))) AS g FROM d WHERE len(w) > 0
@@ -183,6 +185,39 @@ FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN classes USING (g) LEFT JOIN least
 """
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, m, array_to_string(w[s : s + m - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM words, unnest(range(1, 6)) AS t(m), unnest(range(1, len(w) - m + 2)) AS u(s) WHERE len(w) >= m GROUP BY ALL HAVING count(*) >= 100
+), totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM words GROUP BY lang),
+candidates AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE m >= 2),
+inner_phrases AS (
+  SELECT lang, array_to_string(w[s : s + k - 1], ' ') AS phrase, max(a) AS whole
+  FROM candidates, unnest(range(2, m)) AS t(k), unnest(range(1, m - k + 2)) AS u(s) GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN inner_phrases i USING (lang, phrase) WHERE i.whole IS NULL OR 100 * i.whole < 100 * a
+), cuts AS (
+  SELECT kept.lang, kept.phrase, a, k, l.f AS l, r.f AS r, n, 1000 * a * n // (l.f * r.f) AS score
+  FROM kept CROSS JOIN unnest(range(1, 5)) AS t(k) JOIN totals ON totals.lang = kept.lang
+  JOIN grams l ON l.lang = kept.lang AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN grams r ON r.lang = kept.lang AND r.phrase = array_to_string(w[k + 1 :], ' ')
+  WHERE k < kept.m
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM best QUALIFY rank <= 2000
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontamination": op2_decontamination,
@@ -196,5 +231,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_private_data": op10_private_data,
     "op11_turn_repair": op11_turn_repair,
     "op12_minhash": op12_minhash,
+    "op13_collocations": op13_collocations,
 }
-SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op12_minhash": OP12_SQL}
+SQL: dict[str, str] = {"op2_decontamination": OP2_SQL, "op12_minhash": OP12_SQL, "op13_collocations": OP13_SQL}
