@@ -1,6 +1,7 @@
 """What an oracle can't judge: policies, ties, folds, trees, formats, containment, empty inputs, and plans."""
 
 import json
+import random
 from datetime import date
 
 import pytest
@@ -308,6 +309,62 @@ def test_a_deep_chain_takes_few_rounds(spark):
     assert {(r.id, r.level) for r in hierarchy.levels(two).collect()} == {(0, 0), (1, 1), (2, 1), (2, 2), (3, 2), (3, 3)}
 
 
+def plain_descendants(edges):
+    below = {i: {j for j, up in edges if up == i} for i, _ in edges}
+    out = {}
+    for i in below:
+        seen, queue = set(), list(below[i])
+        while queue:
+            if (j := queue.pop()) not in seen:
+                seen.add(j)
+                queue += below[j]
+        out[i] = (len(below[i]), seen)
+    return out
+
+
+@pytest.mark.parametrize("parents", [1, 2])
+def test_counts_and_kept_ancestors_of_all_shapes(spark, parents):
+    """Trees, orphans, cycles with trees below them, a node that reports to itself, repeats; with one parent each or more."""
+    r = random.Random(parents)
+    edges = {(i, r.choice([None, i // 2, i - 1, i - 1, 5000]) if i else None) for i in range(60)}
+    edges |= {(i, 100 + (i - 99) % 5) for i in range(100, 105)} | {(i, r.randrange(100, i)) for i in range(105, 130)} | {(200, 200), (201, 200)}
+    if parents == 2:
+        edges |= {(30, 2), (40, 41), (110, 3), (50, 7), (51, None)}
+    nodes = spark.createDataFrame(list(edges) + list(edges)[:9], "id long, reports_to long").repartition(3)
+    want = plain_descendants(edges)
+    got = {x.id: (x.direct_reports, x.descendants) for x in hierarchy.descendant_counts(nodes).collect()}
+    assert got == {i: (n, len(seen)) for i, (n, seen) in want.items()}
+    wanted = {17, 33, 112, 201, 9999}
+    kept = {x.id for x in hierarchy.with_ancestors(nodes, spark.createDataFrame([(i,) for i in wanted], "id long")).collect()}
+    assert kept == {i for i, (_, seen) in want.items() if i in wanted or seen & wanted}
+    pairs = {(x.descendant, x.ancestor) for x in hierarchy.closure(nodes).collect()}
+    assert pairs == {(d, a) for a, (_, seen) in want.items() for d in seen}
+
+
+def test_ways_of_ids_with_several_parents(spark):
+    """Each way down is a row, none comes back to a node, and a deep chain takes few rounds."""
+    edges = [(i, i - 1 if i else None) for i in range(400)] + [(3, 1), (5, None), (7, 9), (900, 901), (901, 900), (901, 2), (902, 77777)]
+    ups = {}
+    for i, up in edges:
+        ups.setdefault(i, []).append(up)
+    want, queue = set(), [(i,) for i, up in edges if up is None]
+    while queue:
+        way = queue.pop()
+        want.add((way[-1], len(way) - 1, "/".join(map(str, way))))
+        queue += [(*way, i) for i, up in edges if up == way[-1] and i not in way]
+    nodes = spark.createDataFrame(edges, "id long, reports_to long").repartition(2)
+    assert {tuple(x) for x in hierarchy.levels(nodes).collect()} == want
+    assert {x.level for x in hierarchy.levels(nodes, depth=3).select("level").collect()} == {0, 1, 2, 3}
+
+
+def test_a_chain_of_100_000_is_counted(spark):
+    n = 100_000
+    chain = spark.range(n).selectExpr("id", "IF(id = 0, NULL, id - 1) AS reports_to")
+    wrong = hierarchy.descendant_counts(chain).where(f"descendants <> {n - 1} - id OR direct_reports <> IF(id = {n - 1}, 0, 1)")
+    assert wrong.isEmpty()
+    assert hierarchy.with_ancestors(chain, spark.createDataFrame([(70_000,)], "id long")).agg(F.max("id"), F.count("*")).first() == (70_000, 70_001)
+
+
 def test_entry_points(spark, small):
     import __spark_entry__ as entry
 

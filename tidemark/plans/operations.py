@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import clock_text, coded, relative_time, rounded
-from ..operators.hierarchy import closure, levels
+from ..operators.hierarchy import descendant_counts, levels, with_ancestors
 from ..operators.ranking import top
 from ..sources import planning
 from ..sources.constants import CADENCE_HOURS, GRACE_HOURS, INITIATIVES, PLAN_REVENUE, WEEKLY_HOURS, values
@@ -73,11 +73,9 @@ def first_root(wh: Warehouse, people: DataFrame | None = None) -> DataFrame:
 def org_descendants(wh: Warehouse, as_of: AsOf = AsOf(), people: DataFrame | None = None) -> DataFrame:
     """Direct reports and all descendants of everybody."""
     people = planning.people(wh) if people is None else people
-    counts = closure(people).groupBy(F.col("ancestor").alias("id")).agg(
-        F.count_if(F.col("distance") == 1).alias("direct_reports"), F.count_distinct("descendant").alias("descendants")
-    )
     zero = F.lit(0).cast("long")
-    return people.join(counts, "id", "left").select("id", F.coalesce("direct_reports", zero).alias("direct_reports"), F.coalesce("descendants", zero).alias("descendants"))
+    found = people.select("id").join(descendant_counts(people), "id", "left")
+    return found.select("id", F.coalesce("direct_reports", zero).alias("direct_reports"), F.coalesce("descendants", zero).alias("descendants"))
 
 
 def self_join_parent(wh: Warehouse, as_of: AsOf = AsOf(), people: DataFrame | None = None) -> DataFrame:
@@ -92,8 +90,7 @@ def org_filter_ancestors(wh: Warehouse, as_of: AsOf = AsOf(), kind: str = "agent
     """People of a type and all their ancestors."""
     people = planning.people(wh) if people is None else people
     wanted = people.where(F.col("type") == kind).select("id")
-    above = closure(people).join(wanted, F.col("descendant") == F.col("id"), "left_semi").select(F.col("ancestor").alias("id"))
-    return people.join(wanted.union(above), "id", "left_semi").select("id", "name", "type")
+    return people.join(with_ancestors(people, wanted), "id", "left_semi").select("id", "name", "type")
 
 
 def org_stats(wh: Warehouse, as_of: AsOf = AsOf(), people: DataFrame | None = None) -> DataFrame:
