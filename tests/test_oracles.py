@@ -42,4 +42,5 @@ def test_query_matches_duckdb(spark, small, duck, name):
 
 
 def test_every_query_has_an_oracle_or_a_reason():
-    assert set(QUERIES) == set(oracles.SQL)
+    # DuckDB can't see a view's files, whose bytes are counted here.
+    assert set(QUERIES) == set(oracles.SQL) | {"catalog_sizes"}

@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import exprs as X
-from tidemark.operators import currency, folds, hierarchy, ranking
-from tidemark.plans import cohorts, headline, market_model, operations, postprocess
-from tidemark.registry import PULL, run_all
+from tidemark.operators import currency, distinct, folds, hierarchy, ranking
+from tidemark.plans import cohorts, headline, market_model, markets, operations, postprocess, report
+from tidemark.registry import PULL, queries, run_all
 from tidemark.sources import catalog, sinks
-from tidemark.sources.constants import FLAGGED, fx_rates
+from tidemark.sources.constants import COHORT_CURVE, FLAGGED, fx_rates
 from tidemark.sources.params import AsOf
+from tidemark.sources.versions import Versions
 from tidemark.sources.warehouse import SchemaMismatch, Warehouse, checked
 
 
@@ -254,6 +255,90 @@ def test_document_sinks_and_carry_forward(spark, small, wh, tmp_path):
     assert sinks.read_document(spark, str(tmp_path / "none"), "reviews string").count() == 0
 
 
+def test_versions_are_published_whole_and_broken_ones_passed_over(spark, tmp_path):
+    store = Versions(spark, str(tmp_path / "docs"))
+    assert store.latest() is None and store.published() == []
+    doc = lambda **v: spark.createDataFrame([tuple(v.values())], list(v))
+    assert [store.publish(doc(reviews="a", n=k)) for k in (1, 2)] == [1, 2]
+    assert store.latest().first().asDict() == {"reviews": "a", "n": 2}
+    # A run that dies before its marker is not read, and its number is not used again.
+    assert store._create("claimed/3") and store.latest().first().n == 2
+    sinks.write_document(doc(reviews="half", n=3), store.path(3))
+    assert store.latest().first().n == 2 and store.publish(doc(reviews="b", n=4)) == 4 and store.latest().first().n == 4
+    broken = [tmp_path / "docs" / "versions" / str(k) for k in (4, 2)]
+    for path, text in zip(broken, ('{"reviews": "b", "n"', "")):
+        for part in path.glob("part*"):
+            part.write_text(text)
+        for crc in path.glob(".part*"):
+            crc.unlink()
+    assert store.latest().first().n == 1
+    known = spark.createDataFrame([], "n double").schema
+    assert store.latest(known).schema["n"].dataType.simpleString() == "double"
+    store.prune(keep=1)
+    assert store.published() == [4] and store.latest() is None
+
+
+def test_a_second_run_carries_what_only_the_first_one_s_file_holds(spark, wh, tmp_path):
+    store = Versions(spark, str(tmp_path / "docs"))
+    few = {n: spark.createDataFrame([], queries()[n](spark, wh.sf_dir).schema) for n in ("markets", "country_weights", "cohort_aging")}
+    first = report.reviewed(wh).withColumn("country_weights", F.create_map(F.lit("XX"), F.lit(100.0)))
+    month, retention, contribution = (F.lit(x) for x in COHORT_CURVE[0])
+    first = first.withColumn("cohort_curve", F.array(F.struct(month.alias("month"), retention.alias("retention"), contribution.alias("contribution"))))
+    store.publish(first)
+    report.run(wh, store, AsOf(), few)
+    made = json.loads(spark.read.text(store.path(2)).first()[0])
+    assert made["reviews"] == {"total": wh.table("labels").count(), "good": wh.table("labels").where("quality = 1").count()}
+    assert made["period"] == "Q3 2001" and len(made["region_countries"]) == 5
+    assert made["country_weights"] == {"XX": 100.0} and made["top_markets"] == [] and made["cohort_aging"] == []
+    assert [x["month"] for x in made["cohort_curve"]] == [COHORT_CURVE[0][0]]
+    # The third run has the weights of its own query, and still the reviews.
+    report.run(wh, store, AsOf(), {k: v for k, v in few.items() if k != "country_weights"})
+    made = json.loads(spark.read.text(store.path(3)).first()[0])
+    assert "XX" not in made["country_weights"] and made["reviews"]["total"] == wh.table("labels").count()
+
+
+def test_catalog_sizes_and_samples(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    odd = spark.createDataFrame([(None, [1.5, None], None), (2, None, "b"), (None, [], "é"), (3, [0.0], "z")], "x int, a array<double>, `t.t` string")
+    odd.write.parquet(str(tmp_path / "nation.parquet"))
+    spark.createDataFrame([], "x int").write.parquet(str(tmp_path / "region.parquet"))
+    only = ("orders", "nation", "region")
+    got = {r.table_name: (r.n_files, r.n_rows, r.n_bytes) for r in catalog.catalog_sizes(spark, str(tmp_path), only).collect()}
+    assert set(got) == set(only) and got["orders"][1] == 1000 and got["region"] == (0, 0, 0)
+    for t in ("orders", "nation"):
+        sizes = [f.stat().st_size for f in (tmp_path / f"{t}.parquet").glob("*.parquet") if spark.read.parquet(str(f)).count()]
+        assert (got[t][0], got[t][2]) == (len(sizes), sum(sizes))
+    cells = {(r.table_name, r.nth, r.column_name): (r.number, r.text) for r in catalog.catalog_samples(spark, str(tmp_path), only).collect()}
+    assert len(cells) == 3 * 3 + 3
+    assert [cells["nation", k, "a"] for k in (1, 2, 3)] == [(0.0, None), (2.0, None), (None, None)]
+    assert [cells["nation", k, "t.t"] for k in (1, 2, 3)] == [(None, "é"), (None, None), (None, "b")]
+    assert cells["orders", 3, "id"] == (2.0, None)
+
+
+def test_names_sort_by_locale(spark):
+    names = ["zebra", "Äther", "apfel", "Zoo", "Apfel", "éclair", "Eclair", "eclair", "ähre", None, "Öl", "ol"]
+    rows = spark.createDataFrame([("x", n) for n in names], "name string, continent string")
+    want = ["ähre", "apfel", "Apfel", "Äther", "eclair", "Eclair", "éclair", "ol", "Öl", "zebra", "Zoo"]
+    got = [[r.continent for r in market_model.sorted_by(rows, 1, down).collect()] for down in (False, True)]
+    assert got == [[None, *want], [*want[::-1], None]]
+
+
+def test_exact_distinct_counts_and_sends_less(spark):
+    rows = spark.range(60_000).selectExpr("id % 3 AS g", "CASE WHEN id % 11 = 0 THEN NULL ELSE id * 7 % 30000 - 9000 END AS x").union(spark.range(3).selectExpr("9L", "CAST(NULL AS BIGINT)"))
+    want = {r.g: r.n for r in rows.groupBy("g").agg(F.count_distinct("x").alias("n")).collect()}
+    assert {r.g: r.n for r in distinct.exact_distinct(rows, ["g"], "x", "n").collect()} == want and want[9] == 0
+    assert distinct.exact_distinct(rows.where("false"), [], "x", "n").first().n == 0
+    p = plan(distinct.exact_distinct(rows, ["g"], "x", "n"))
+    assert p.index("bitmap_construct_agg") < p.rindex("partial_bitmap_construct_agg") and "hashpartitioning(g" in p
+    assert "count(distinct" not in p
+
+
+def test_diagnostics_push_their_month(spark, wh):
+    p = plan(markets.diagnostics(wh))
+    scans = [line for line in p.splitlines() if "PushedFilters" in line and "o_orderdate" in line]
+    assert scans and all("GreaterThanOrEqual(o_orderdate" in line for line in scans)
+
+
 def test_csv_and_html(spark, tmp_path):
     df = spark.createDataFrame([('a "b", c', None), ("<d>", "1")], "x string, y string")
     sinks.write_csv(df.coalesce(1), str(tmp_path / "csv"))

@@ -238,6 +238,7 @@ def _delta(v: str, base: str, n: int) -> str:
 ACTIVE_NOW = "CASE WHEN latest_active > 0 AND active_users < latest_active * 0.75::DOUBLE THEN latest_active ELSE CAST(active_users AS DOUBLE) END"
 GTV_NOW = "CASE WHEN coalesce(total_gtv, 0) = 0 THEN 25.8::DOUBLE ELSE total_gtv END"
 VIEWS |= {
+    "reviewed": "SELECT count(*) AS total, count(*) FILTER (quality = 1) AS good FROM labels",
     "repaired": f"""SELECT total_revenue, {_delta('total_revenue', '7.6', 1)} AS total_revenue_delta, CAST(payment_revenue AS DOUBLE) AS payment_revenue, arpc, {ACTIVE_NOW} AS active_users,
         {_delta(f'({ACTIVE_NOW})', '278000', 0)} AS active_users_delta, {GTV_NOW} AS total_gtv, {_delta(f'({GTV_NOW})', '23.4', 0)} AS total_gtv_delta,
         coalesce(nullif(monthly_churn, 0), 2.1::DOUBLE) AS monthly_churn, coalesce(nullif(annual_churn, 0), 22::DOUBLE) AS annual_churn, nrr, gross_margin, registered, paying, payments_enabled
@@ -276,6 +277,40 @@ def _cells(section: str, source: str, key: str, numbers: str = "", texts: str =
     )
 
 
+#: Columns of the tables in their order: n is a number, s a text, t an instant, a an array.
+SAMPLED = {
+    "region": "r_regionkey n r_name s",
+    "nation": "n_nationkey n n_name s n_regionkey n",
+    "customer": "c_custkey n c_name s c_nationkey n c_acctbal n c_mktsegment s",
+    "supplier": "s_suppkey n s_name s s_nationkey n s_acctbal n",
+    "part": "p_partkey n p_name s p_brand s p_type s p_size n p_retailprice n",
+    "orders": "o_orderkey n o_custkey n o_orderstatus s o_totalprice n o_orderdate t o_orderpriority s",
+    "lineitem": "l_orderkey n l_partkey n l_suppkey n l_linenumber n l_quantity n l_extendedprice n l_discount n l_tax n l_returnflag s l_linestatus s l_shipdate t",
+    "events": "event_id n ts t user_id n event_type s value n props s",
+    "documents": "doc_id n text s lang s source s n_chars n",
+    "embeddings": "vec_id n embedding a label n",
+    "pages": "page_id n url s html s",
+    "benchmark": "item_id n text s",
+    "labels": "doc_id n quality n toxic n",
+    "conversations": "conv_id n turn n role s text s",
+}
+
+
+def _sample(table: str, columns: str) -> str:
+    """The first three rows of a table by all its columns, a row for each value."""
+    names, kinds = columns.split()[::2], columns.split()[1::2]
+    listed = lambda xs: "[" + ", ".join(xs) + "]"
+    number = {"n": "CAST({} AS DOUBLE)", "a": "CAST(len({}) AS DOUBLE)"}
+    text = {"s": "{}", "t": "strftime({}, '%Y-%m-%d %H:%M:%S')"}
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in names)
+    return (
+        f"SELECT '{table}' AS table_name, nth, unnest({listed(repr(c) for c in names)}) AS column_name,"
+        f" unnest({listed(number.get(k, 'CAST(NULL AS DOUBLE)').format(c) for c, k in zip(names, kinds))}) AS number,"
+        f" unnest({listed(text.get(k, 'CAST(NULL AS VARCHAR)').format(c) for c, k in zip(names, kinds))}) AS text"
+        f" FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS nth FROM {table}) WHERE nth <= 3"
+    )
+
+
 VINTAGE = "merchants active_now active_pct paying_now paying_pct active_to_paying_pct mrr arr arpc gtv_30d gtv_alltime revenue_alltime npv ltv cancelled_30d churn_rate_30d cohort_age_months payment_pct"
 SERIES = " ".join(f"{s}_{m}" for s in ("revenue", "payment_revenue", "arpc", "active_users", "gtv") for m in ("target", "actual"))
 DOCUMENT = " UNION ALL ".join(
@@ -295,7 +330,9 @@ DOCUMENT = " UNION ALL ".join(
         _cells("revenue_diag", "invoiced", "source", "total_rows current_year_rows current_year_amount", "min_date max_date"),
         _cells("revenue_sample", "sampled", "CAST(invoice_date AS VARCHAR) || '|' || total", "amount_due amount_paid", "currency_code status"),
         _cells("cohort_curve", f"(VALUES {rows(COHORT_CURVE)}) AS t(month, retention, contribution)", "CAST(month AS VARCHAR)", "retention contribution"),
-        *(f"SELECT '{k}', '', '{k}', CAST(NULL AS DOUBLE), '{v}'" for k, v in (("last_updated", "2001-07-15"), ("period", "Q3 2001"), ("data_status", "ACTUAL"), ("reviews", "42 reviews"))),
+        *(f"SELECT '{k}', '', '{k}', CAST(NULL AS DOUBLE), '{v}'" for k, v in (("last_updated", "2001-07-15"), ("period", "Q3 2001"), ("data_status", "ACTUAL"))),
+        _cells("reviews", "reviewed", "''", "total good"),
+        _cells("region_countries", "(SELECT r_name, count(*) AS countries FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name)", "r_name", "countries"),
     )
 )
 BODIES = {
@@ -311,7 +348,8 @@ BODIES = {
           (9, 'Cohort vintages', CAST(vintages AS VARCHAR)), (10, 'Unified merch', unified || ' rows'), (11, 'Cohort aging', aged || ' rows'), (12, 'Top markets', CAST(top AS VARCHAR)), (13, 'Monthly actuals', filled || '/12 months filled')) AS t(position, name, value)""",
     "market_filtered_sorted": """SELECT name, continent, psp, formal, tam_rev, row_number() OVER (ORDER BY formal, name) AS place FROM sized WHERE scenario = 'c' AND served AND psp IN ('P', 'B') AND contains(lower(name), 'a')""",
     "catalog_namespaces": "SELECT 'default' AS namespace",
-    "catalog_samples": "SELECT 'nation' AS table_name, concat_ws('|', n_nationkey, n_name, n_regionkey) AS row FROM nation UNION ALL SELECT 'region', concat_ws('|', r_regionkey, r_name) FROM region",
+    "market_sorted_texts": """SELECT name, continent, psp, formal, tam_rev, row_number() OVER (ORDER BY continent DESC, name) AS place FROM sized WHERE scenario = 'c'""",
+    "catalog_samples": " UNION ALL ".join(_sample(t, kinds) for t, kinds in SAMPLED.items()),
     "catalog_columns": " UNION ALL ".join(
         f"""SELECT '{t}' AS table_name, column_name, regexp_replace(CASE replace(column_type, '[]', '') WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(replace(column_type, '[]', '')) END,
         '(.+)', CASE WHEN column_type LIKE '%[]' THEN 'array<\\1>' ELSE '\\1' END) AS data_type, "null" = 'YES' AS nullable, row_number() OVER () - 1 AS position FROM (DESCRIBE {t})"""
@@ -374,7 +412,7 @@ BODIES = {
       FROM customers LEFT JOIN merchants ON merchant_id = TRY_CAST(customer_id AS BIGINT) GROUP BY region""",
     "cross_join_scalars": "SELECT * FROM (SELECT count(*) AS registered FROM merchants), (SELECT count(*) AS active FROM active), (SELECT count(*) AS receipts FROM receipts)",
     "semi_join_active": "SELECT country, count(*) AS active_merchants FROM merchants WHERE merchant_id IN (SELECT merchant_id FROM active) GROUP BY country",
-    "agg_count_distinct_grouped": "SELECT month, count(DISTINCT merchant_id) AS merchants FROM sales GROUP BY month",
+    "agg_count_distinct_grouped": "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(DISTINCT o_custkey) AS merchants FROM orders GROUP BY 1",
     "agg_conditional_counts": """SELECT region, count(*) FILTER (status = 'paid') AS paid, CAST(coalesce(sum(total) FILTER (status = 'paid'), 0) AS BIGINT) AS paid_total, count(*) FILTER (currency IS NULL) AS no_currency
       FROM invoices GROUP BY region""",
     "agg_two_phase_regions": f"SELECT month(make_timestamp(date * 1000000)) AS month_num, {R('sum(eur)', 2)} AS revenue FROM paid_invoices GROUP BY 1",

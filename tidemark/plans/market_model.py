@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import coded, count_text, exact_sum, fixed, money_text, ratio
 from ..sources.constants import CONTINENTS, INFORMAL_SCALE, PROVIDERS, TIER_COLUMNS, TIERS, values
@@ -143,12 +144,23 @@ def filtered(rows: DataFrame, continent: str | None = None, served: bool | None
     return rows
 
 
-def sorted_by(rows: DataFrame, column: int = 7, descending: bool = True) -> DataFrame:
-    """Rows by a column number; null is below all, texts sort by code points, ties by name."""
+#: Order of texts: letters before their accents, accents before case, as readers of most languages expect.
+COLLATION = "UNICODE"
+
+
+def sort_keys(rows: DataFrame, column: int, descending: bool) -> list:
+    """Sort keys of a column number: null is below all, texts go by COLLATION, ties by name. None for column 0."""
     name = SORTS[column]
     if name is None:
-        return rows
-    return rows.orderBy(F.desc_nulls_last(name) if descending else F.asc_nulls_first(name), "name")
+        return []
+    key = F.collate(name, COLLATION) if isinstance(rows.schema[name].dataType, T.StringType) else F.col(name)
+    return [key.desc_nulls_last() if descending else key.asc_nulls_first(), F.collate("name", COLLATION), F.col("name")]
+
+
+def sorted_by(rows: DataFrame, column: int = 7, descending: bool = True) -> DataFrame:
+    """Rows by a column number; null is below all, texts sort by COLLATION, ties by name."""
+    keys = sort_keys(rows, column, descending)
+    return rows.orderBy(*keys) if keys else rows
 
 
 def market_country_table(wh: Warehouse, model: Model = Model(), scenario: str = "c", column: int = 7, descending: bool = True, **filters) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +62,9 @@ def diagnostics(wh: Warehouse, as_of: AsOf = AsOf(), floor: str = DIAGNOSTICS_FL
         metric.cast("double").alias("metric_value"),
     )
     one = F.count(F.lit(1))
-    sales = wh.sales().where(F.col("month") >= floor).groupBy("month").agg(one.alias("n"), F.count_distinct("merchant_id").alias("u"))
+    since = date.fromisoformat(f"{floor}-01")
+    # Sales are a row a merchant and month, so a count of merchants is one of distinct ones.
+    sales = wh.sales(since=since).where(F.col("month") >= floor).groupBy("month").agg(one.alias("n"), F.count("merchant_id").alias("u"))
     # One scan gives the sums by currency; the totals are sums of those few rows.
     money_rows = recent_receipts(wh, as_of).groupBy("currency").agg(one.alias("n"), F.sum("total_money").alias("raw"))
     nulls = money_rows.agg(F.sum(F.when(F.col("currency").isNull(), F.col("n")).otherwise(0)).alias("nn"), F.sum("n").alias("n"))

@@ -190,6 +190,10 @@ def unit_economics(wh: Warehouse, as_of: AsOf = AsOf(), vintages: DataFrame | No
     )
 
 
+#: Sections for which the document before stands in where the queries gave no rows.
+STANDS_IN = ("revenue_projection", "gtv_projection", "top_markets", "country_weights")
+
+
 def weights_map(weights: DataFrame) -> DataFrame:
     """One row: country code to weight, at most the rows of country_weights()."""
     return weights.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("country_code", "weight")))).alias("country_weights"))
@@ -204,7 +208,8 @@ def dashboard_document(wh: Warehouse, as_of: AsOf = AsOf(), results: dict[str, D
     """One nested row, the dashboard's document. All parts are bounded reports: months, cohorts, countries, stages.
 
     results: query results by name, for those that ran already (run_all()); others are planned here.
-    previous: the document before, whose sections that no query makes are carried forward.
+    previous: the document before. Its sections that no query makes are carried forward, it stands in for queries that gave
+    no rows, and its cohort curve goes before the constant one.
     """
     results = results or {}
     got = lambda name, make: results[name] if name in results else make(wh, as_of)
@@ -244,8 +249,13 @@ def dashboard_document(wh: Warehouse, as_of: AsOf = AsOf(), results: dict[str, D
         }
     )
     if previous is not None:
-        carried = [c for c in previous.columns if c not in one.columns]
-        if carried:
-            last = previous.select(*carried).limit(1)
-            one = one.join(last, F.lit(True), "left")
+        made, before = one.columns, {f.name: f.dataType for f in previous.schema.fields}
+        stands_in = [c for c in (*STANDS_IN, "cohort_curve") if c in before and before[c].simpleString() == one.schema[c].dataType.simpleString()]
+        last = previous.select(*[F.col(c).alias(f"before_{c}" if c in made else c) for c in before if c not in made or c in stands_in]).limit(1)
+        one = one.join(last, F.lit(True), "left")
+        for c in stands_in:
+            old = F.col(f"before_{c}")
+            use = F.size(old) > 0 if c == "cohort_curve" else (F.size(c) < 1) & (F.size(old) > 0)
+            one = one.withColumn(c, F.when(use, old).otherwise(F.col(c)))
+        one = one.select(*made, *[c for c in before if c not in made])
     return one

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import fixed
+from ..operators.lineage import shared_folder
 from ..sources.params import AsOf
+from ..sources.versions import Versions
 from ..sources.warehouse import Warehouse
 from . import cohorts as C
 from . import market_model, postprocess
@@ -24,9 +28,8 @@ KEYS = {
     "revenue_diag": ("source",),
     "revenue_sample": ("invoice_date", "total"),
     "cohort_curve": ("month",),
+    "region_countries": ("region",),
 }
-#: Sections of an earlier document, as the queries carry them forward: reviews no query makes, the period every run makes anew.
-PREVIOUS = {"reviews": "42 reviews", "period": "Q1 1999"}
 
 
 def _cell(section: str, key: Column, metric: str, value: Column, kind: T.DataType) -> Column:
@@ -87,10 +90,29 @@ def document_rows(document: DataFrame) -> DataFrame:
     return document.select(F.inline(F.concat(*cells)))
 
 
+def reviewed(wh: Warehouse) -> DataFrame:
+    """One row: a first document, of sections that no daily query makes (reviews, countries of a region) and a period of its own."""
+    reviews = wh.table("labels").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("quality") == 1).alias("good"))
+    nation = wh.table("nation").groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("countries"))
+    regions = wh.table("region").join(nation, F.col("r_regionkey") == F.col("n_regionkey")).select(F.col("r_name").alias("region"), "countries")
+    regions = regions.agg(F.array_sort(F.collect_list(F.struct("region", "countries"))).alias("region_countries"))
+    return reviews.select(F.struct("total", "good").alias("reviews")).crossJoin(regions).withColumn("period", F.lit("Q1 1999"))
+
+
+def run(wh: Warehouse, versions: Versions, as_of: AsOf = AsOf(), results: dict[str, DataFrame] | None = None) -> int:
+    """A daily run: the document over the newest one that is whole, published as the next version, whose number is returned."""
+    made = postprocess.dashboard_document(wh, as_of, results)
+    before = versions.latest(made.schema)
+    return versions.publish(made if before is None else postprocess.dashboard_document(wh, as_of, results, previous=before))
+
+
 def dashboard_document(wh: Warehouse, as_of: AsOf = AsOf()) -> DataFrame:
-    """The rows of the document, with sections of an earlier one carried forward."""
-    previous = wh.spark.range(1).select(*[F.lit(v).alias(k) for k, v in PREVIOUS.items()])
-    return document_rows(postprocess.dashboard_document(wh, as_of, previous=previous))
+    """The rows of the second of two runs' documents, with the sections that only the first one's file holds."""
+    root = f"{shared_folder(wh.spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
+    versions = Versions(wh.spark, root)
+    versions.publish(reviewed(wh))
+    made = postprocess.dashboard_document(wh, as_of)
+    return document_rows(versions.read(run(wh, versions, as_of), made.schema))
 
 
 def agg_map_weights(wh: Warehouse, as_of: AsOf = AsOf()) -> DataFrame:
@@ -108,9 +130,13 @@ def funnel_fallback(wh: Warehouse, as_of: AsOf = AsOf()) -> DataFrame:
 def market_filtered_sorted(wh: Warehouse, column: int = 3, descending: bool = False, **filters) -> DataFrame:
     """The country table under filters, with each row's place in the order; a report, so one window over it does."""
     rows = market_model.filtered(market_model.market_rows(wh), **(filters or {"served": True, "psp": ["P", "B"], "contains": "a"}))
-    name = market_model.SORTS[column]
-    order = F.desc_nulls_last(name) if descending else F.asc_nulls_first(name)
-    return rows.select("name", "continent", "psp", "formal", "tam_rev", F.row_number().over(Window.partitionBy().orderBy(order, "name")).cast("long").alias("place"))
+    order = market_model.sort_keys(rows, column, descending)
+    return rows.select("name", "continent", "psp", "formal", "tam_rev", F.row_number().over(Window.partitionBy().orderBy(*order)).cast("long").alias("place"))
+
+
+def market_sorted_texts(wh: Warehouse) -> DataFrame:
+    """All countries in the order of their continents' names, the last first, and of their own names."""
+    return market_filtered_sorted(wh, column=1, descending=True, contains="")
 
 
 def console_summary(wh: Warehouse, as_of: AsOf = AsOf()) -> DataFrame:
@@ -141,4 +167,4 @@ def console_summary(wh: Warehouse, as_of: AsOf = AsOf()) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
 
 
-__all__ = ["agg_map_weights", "console_summary", "dashboard_document", "document_rows", "funnel_fallback", "market_filtered_sorted"]
+__all__ = ["agg_map_weights", "console_summary", "dashboard_document", "document_rows", "funnel_fallback", "market_filtered_sorted", "market_sorted_texts", "reviewed", "run"]

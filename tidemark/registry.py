@@ -77,6 +77,7 @@ MARKET = (
     market_model.market_country_table,
     market_model.market_export,
     report.market_filtered_sorted,
+    report.market_sorted_texts,
 )
 
 
@@ -97,6 +98,7 @@ def queries(as_of: AsOf = AsOf()) -> dict[str, Query]:
     found["catalog_row_counts"] = catalog.catalog_row_counts
     found["catalog_namespaces"] = catalog.namespaces
     found["catalog_samples"] = catalog.catalog_samples
+    found["catalog_sizes"] = catalog.catalog_sizes
     return found
 
 

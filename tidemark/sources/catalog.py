@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .constants import quoted
@@ -64,12 +64,38 @@ def namespaces(spark: SparkSession, sf_dir: str = "") -> DataFrame:
     return spark.createDataFrame([(n,) for n in catalog_namespaces(spark)], "namespace string")
 
 
-def catalog_samples(spark: SparkSession, sf_dir: str, only: tuple[str, ...] = ("nation", "region"), rows: int = 25) -> DataFrame:
-    """(table_name, row): up to `rows` sample rows of each table, their values joined by |; which ones is up to the reader."""
+def sample_variants(spark: SparkSession, sf_dir: str, only: tuple[str, ...] = TABLES, rows: int = 3) -> DataFrame:
+    """(table_name, nth, row): the first rows of each table by all its columns (nulls first), of unlike schemas in one VARIANT."""
     one = []
     for t in only:
-        df = catalog_sample(spark, sf_dir, t, rows)
-        one.append(df.select(F.lit(t).alias("table_name"), F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns]).alias("row")))
+        df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        order = [F.col(f"`{c}`").asc_nulls_first() for c in df.columns]
+        first = df.orderBy(*order).limit(rows)  # each task leaves so many rows, whatever the table's size
+        nth = F.row_number().over(Window.partitionBy().orderBy(*order)).cast("long")
+        own = F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+        one.append(first.select(F.lit(t).alias("table_name"), nth.alias("nth"), own.alias("row")))
+    return reduce(DataFrame.unionByName, one)
+
+
+def catalog_samples(spark: SparkSession, sf_dir: str, only: tuple[str, ...] = TABLES, rows: int = 3) -> DataFrame:
+    """(table_name, nth, column_name, number, text): a row for each value of the sample rows; of arrays the number of entries."""
+    found = sample_variants(spark, sf_dir, only, rows).lateralJoin(spark.tvf.variant_explode(F.col("row").outer()))
+    kind, whole = F.schema_of_variant("value"), lambda t: F.variant_get("value", "$", t)
+    number = F.when(kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), whole("double")).when(kind.startswith("ARRAY"), F.size(whole("array<variant>")).cast("double"))
+    text = F.when(kind.startswith("TIMESTAMP"), F.date_format(whole("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")).when(number.isNull(), whole("string"))
+    return found.select("table_name", "nth", F.col("key").alias("column_name"), number.alias("number"), text.alias("text"))
+
+
+def catalog_sizes(spark: SparkSession, sf_dir: str, only: tuple[str, ...] = TABLES) -> DataFrame:
+    """(table_name, n_files, n_rows, n_bytes) of the tables' files that have rows.
+
+    Tasks read the files' footers: the rows that they count have no column, and the sizes come with the files.
+    """
+    one = []
+    for t in only:
+        files = spark.read.parquet(f"{sf_dir}/{t}.parquet").groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("size"))
+        sums = [F.count(F.lit(1)).alias("n_files"), *[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(f"n_{n}") for c, n in (("rows", "rows"), ("size", "bytes"))]]
+        one.append(files.agg(*sums).select(F.lit(t).alias("table_name"), "n_files", "n_rows", "n_bytes"))
     return reduce(DataFrame.unionByName, one)
 
 
