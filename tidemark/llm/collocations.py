@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ BROADCAST_WORDS = 400_000
 #: Fragments a bucket is meant to have, buckets at most, and fragments that a task mines at once.
 BUCKET, BUCKETS, HELD = 250_000, 200_000, 2_000_000
 #: Occurrences of a pivot for each split by neighbour, and for each salt.
-SPLIT, SALTED = 100_000, 6_400_000
+SPLIT, SALTED = 1_000_000, 64_000_000
 #: Tokens that a task rewrites at once.
 TOKENS = 1_000_000
 #: Lower-cases A-Z, makes tabs spaces and the separators `[.,;:!?\x0A-\x0D]` line feeds.
@@ -89,43 +90,59 @@ def fragments(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _routed(ids: np.ndarray, hot_ids: np.ndarray, hot_counts: np.ndarray, buckets: int, at: int, split: int, salted: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """(bucket, sizes, ids) of the fragments of a stretch of ids: those that go on to the right, and those that end in their pivot."""
+    """(bucket, sizes, ids) of the fragments of a stretch of ids. Those of a split pivot go in two: phrases that go on to the right
+    of it by the word there, phrases that end in it by the word before it."""
     rows, left, right = fragments(ids)
     pivot = rows[:, _REACH]
-    parts, ways, before, after = [], [], [], []
-    for on in (True, False):
-        some = np.flatnonzero(right > 0 if on else left > 0)
-        if not len(some):
-            continue
-        part, near = rows[some].copy(), rows[some, _REACH + 1 if on else _REACH - 1]
-        own = pivot[some]
-        part[:, 0 if on else slice(_REACH + 1, None)] = 0  # a phrase that goes on to the right has one word less to the left
-        way = _mixed(own)
-        if len(hot_ids):
-            place = np.minimum(np.searchsorted(hot_ids, own), len(hot_ids) - 1)
-            count = np.where(hot_ids[place] == own, hot_counts[place], 0)
-            hot = np.flatnonzero(count > split)
-            splits = -(-count[hot] // split)
-            salts = -(-count[hot] // salted)
-            # Both sides of a split must not meet, so that every bucket has whole phrases.
-            extra = _mixed(near[hot]) % splits.astype(np.uint64) * np.uint64(2) + np.uint64(on)
-            extra = (extra << np.uint64(20)) + ((at + some[hot]) % salts).astype(np.uint64)
-            way[hot] = _mixed(way[hot] + extra + np.uint64(1))
+    hot = np.zeros(len(ids), bool)
+    if len(hot_ids):
+        place = np.minimum(np.searchsorted(hot_ids, pivot), len(hot_ids) - 1)
+        count = np.where(hot_ids[place] == pivot, hot_counts[place], 0)
+        hot = count > split
+    parts, ways, before, after, only = [], [], [], [], []
+
+    def add(some: np.ndarray, way: np.ndarray, with_left: int, with_right: bool) -> None:
+        part = rows[some]
+        part[:, : _REACH - with_left] = 0
+        if not with_right:
+            part[:, _REACH + 1 :] = 0
         parts.append(part)
         ways.append((way % np.uint64(buckets)).astype(np.int64))
-        before.append(np.minimum(left[some], _REACH - 1) if on else left[some])
-        after.append(right[some] if on else np.zeros(len(some), np.uint8))
-    if not parts:
-        return
-    rows, way, before, after = (np.concatenate(x) for x in (parts, ways, before, after))
+        before.append(np.minimum(left[some], with_left))
+        after.append(right[some] if with_right else np.zeros(len(some), np.uint8))
+        only.append(np.full(len(some), with_left < _REACH, np.uint8))
+
+    usual = np.flatnonzero(~hot & ((left > 0) | (right > 0)))
+    add(usual, _mixed(pivot[usual]), _REACH, True)
+    for on in (True, False):
+        some = np.flatnonzero(hot & ((right if on else left) > 0))
+        if len(some):
+            splits, salts = (-(-count[some] // size) for size in (split, salted))
+            extra = _mixed(rows[some, _REACH + 1 if on else _REACH - 1]) % splits.astype(np.uint64) * np.uint64(2) + np.uint64(on)
+            extra = (extra << np.uint64(20)) + ((at + some) % salts).astype(np.uint64)
+            # A phrase that goes on to the right has a word less to the left.
+            add(some, _mixed(_mixed(pivot[some]) + extra + np.uint64(1)), _REACH - 1 if on else _REACH, on)
+    rows, way, before, after, only = (np.concatenate(x) for x in (parts, ways, before, after, only))
     order = np.argsort(way, kind="stable")
-    rows, way, sizes = rows[order], way[order], (before + 5 * after)[order].astype(np.uint8)
+    rows, way, sizes = rows[order], way[order], (before + 5 * after + 25 * only)[order].astype(np.uint8)
     stream = rows[rows > 0]
     ends = np.cumsum((before.astype(np.int64) + after + 1)[order])
     cuts = np.flatnonzero(np.diff(way)) + 1
+    if not len(way):
+        return
     starts, stops = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(way)]))
+    pack = zstandard.ZstdCompressor(level=1).compress
     for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
-        yield int(way[a]), sizes[a:b].tobytes(), stream[ends[a - 1] if a else 0 : ends[b - 1]].tobytes()
+        yield int(way[a]), pack(sizes[a:b].tobytes()), pack(_planes(stream[ends[a - 1] if a else 0 : ends[b - 1]]))
+
+
+def _planes(ids: np.ndarray) -> bytes:
+    """Ids by place of their bytes: the higher places are mostly alike and pack well."""
+    return ids.view(np.uint8).reshape(-1, ids.itemsize).T.tobytes()
+
+
+def _unplaned(data: bytes, dtype) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
 _FRAGMENTS = "bucket int, sizes binary, ids binary"
@@ -190,22 +207,28 @@ def _joined_up(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield out
 
 
-def _mine(rows: np.ndarray, least: int, partial: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(phrases, counts) of the phrases of each length that the pivots own; partial pivots' phrases all leave."""
+def _mine(rows: np.ndarray, only_right: np.ndarray, least: int, partial: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(phrases, counts) of the phrases of each length that the pivots own; partial pivots' phrases all leave.
+
+    A phrase is looked for where both its parts of a word less are frequent. only_right: the phrases that end in the pivot are
+    counted elsewhere.
+    """
     names, codes = np.unique(rows, return_inverse=True)
     codes = codes.reshape(rows.shape)  # blanks are 0 in every bucket: a fragment never fills all places
     if names[0] != 0:
         codes, names = codes + 1, np.concatenate(([0], names))
-    width, goes_on = len(names), rows[:, _REACH + 1] > 0
+    width = len(names)
     frequent: dict[tuple[int, int], np.ndarray] = {}
     for m in range(2, LONGEST + 1):
         windows = [(_REACH - m + k, _REACH + k - 1) for k in range(2, m + 1)] + [(_REACH - m + 1, _REACH)]
         chosen = []
         for s, e in windows:
-            good = (codes[:, s] > 0) & (codes[:, e] > 0) & (goes_on == (e > _REACH))
+            good = (codes[:, s] > 0) & (codes[:, e] > 0)
+            if e == _REACH:
+                good &= ~only_right
             for part in ((s, e - 1), (s + 1, e)):
-                if part in frequent and (part[1] > _REACH) == (e > _REACH) and part[0] <= _REACH:
-                    good &= frequent[part]
+                if part in frequent:
+                    good &= frequent[part] | only_right if part[1] == _REACH else frequent[part]
             chosen.append(np.flatnonzero(good))
         key, first = None, None
         words = [np.concatenate([codes[c, s + j] for c, (s, _) in zip(chosen, windows, strict=True)]) for j in range(m)]
@@ -225,13 +248,16 @@ def _mine(rows: np.ndarray, least: int, partial: np.ndarray) -> Iterator[tuple[n
             at += len(c)
 
 
-def _rows_of(sizes: list[bytes], ids: list[bytes], dtype) -> np.ndarray:
-    sizes, ids = np.frombuffer(b"".join(sizes), np.uint8), np.frombuffer(b"".join(ids), dtype)
-    before, after = (sizes % 5)[:, None], (sizes // 5)[:, None]
+def _rows_of(sizes: list[bytes], ids: list[bytes], dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Fragments, and which of them are only for phrases that go on to the right."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    sizes = np.frombuffer(b"".join(map(unpack, sizes)), np.uint8)
+    ids = np.concatenate([_unplaned(unpack(x), dtype) for x in ids])
+    before, after = (sizes % 5)[:, None].astype(np.int64), (sizes // 5 % 5)[:, None]
     place = np.arange(-_REACH, _REACH + 1)[None, :]
     rows = np.zeros((len(sizes), 2 * _REACH + 1), np.int64)
-    rows[(place >= -before.astype(np.int64)) & (place <= after)] = ids
-    return rows
+    rows[(place >= -before) & (place <= after)] = ids
+    return rows, sizes >= 25
 
 
 _MINED = "ids array<long>, f long"
@@ -242,9 +268,9 @@ def _mined(least: int, dtype, salted_upto: int, held_most: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(sizes: list[bytes], ids: list[bytes], whole: bool) -> Iterator[pa.RecordBatch]:
-            rows = _rows_of(sizes, ids, dtype)
+            rows, only_right = _rows_of(sizes, ids, dtype)
             partial = (rows[:, _REACH] <= salted_upto) | (not whole)
-            for phrases, counts in _mine(rows, least, partial):
+            for phrases, counts in _mine(rows, only_right, least, partial):
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(phrases) + 1) * phrases.shape[1], pa.int32()), pa.array(phrases.ravel(), pa.int64()))
                 yield pa.RecordBatch.from_arrays([lists, pa.array(counts, pa.int64())], names=["ids", "f"])
 
@@ -259,7 +285,7 @@ def _mined(least: int, dtype, salted_upto: int, held_most: int):
                     bucket, sizes, ids, held = own, [], [], 0
                 sizes.append(s)
                 ids.append(x)
-                held += len(s)
+                held += zstandard.frame_content_size(s)
         if sizes:
             yield from told(sizes, ids, whole)
 
