@@ -371,11 +371,15 @@ def test_private_patterns_against_their_plain_forms(spark):
 
 
 def test_disclosing_terms_and_sanitising(spark):
-    rows = [(i, f"{'write to the zanzibar office ' if i < 4 else 'a line about weather and trade '} boss@corp.example today") for i in range(4)]
-    rows += [(i, "a line about weather and trade today, write to the office") for i in range(4, 60)]
+    rest = ("", " or tomorrow, when they meet at home", " by the evening train of last week", " under rain from northern lands again")
+    rows = [(i, f"write to the zanzibar office  boss@corp.example today{rest[i]}") for i in range(4)]
+    rows += [(i, f"a line about weather and trade today, write to the office {i}") for i in range(4, 60)]
+    copies = [(i, "write to the atlantis office  head@corp.example today") for i in range(60, 64)]
+    rows += copies + [(64, copies[0][1] + "!")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r for r in private_data.sanitise(docs).collect()}
     assert got[0].sanitised == "write to the [term] office  [email] today"
+    assert got[60].sanitised == "write to the atlantis office  [email] today"  # copies are one witness, and one tells nothing
     assert got[5].sanitised == got[5].text
 
 

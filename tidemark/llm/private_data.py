@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, modest, text_key
+from .common import connected_components, cut, free_name, modest, text_key
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -114,15 +114,15 @@ def _of_kind(kind: int, spans: Column, holds) -> Column:
     )
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(r, h, text): two 64-bit keys, of id and text and of the text alone, name a document. Null is empty."""
-    r, h = _keys(id_col, text_col)
+def _rows(docs: DataFrame, text_col: str) -> DataFrame:
+    """(r, h, text): two 64-bit keys name a text, whatever rows have it. Null is empty."""
+    r, h = _keys(text_col)
     return docs.select(r.alias("r"), h.alias("h"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 
-def _keys(id_col: str, text_col: str) -> tuple[Column, Column]:
-    i, h = F.col(f"`{id_col}`"), text_key(F.col(f"`{text_col}`"))
-    return F.xxhash64(i, i.isNull(), h), h
+def _keys(text_col: str) -> tuple[Column, Column]:
+    text = F.col(f"`{text_col}`")
+    return F.xxhash64(F.lit(1), text.isNull(), text), text_key(text)
 
 
 def _terms(rows: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def _outside(words: DataFrame, mentions: DataFrame, width: int) -> DataFrame:
 
 
 def term_counts(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(term, n_t): the documents that have a term. Rows repeated in id and text are one document.
+    """(term, n_t): the texts that have a term. Rows of like texts are one.
 
     Every row's terms are counted, partially in each task; what repeated rows count too much is
     taken off again, so that texts are not shuffled to find the repeats.
@@ -163,49 +163,80 @@ def term_counts(rows: DataFrame, found: DataFrame) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
+#: Coordinates of a signature of word triples, and those of a band, by which near copies are found; coordinates that must agree.
+_COORDINATES, _BAND, _AGREE = 40, 4, 24
+
+
+def witnesses(words: DataFrame) -> DataFrame:
+    """(r, witness) of texts that are near copies of another one: near copies have one witness in common.
+
+    words: r, h, start, term. Texts have a signature of minima over their triples of terms. Those that share a band are
+    linked to the least of them where _AGREE coordinates are alike (a similarity of about 0.6).
+    """
+    order = Window.partitionBy("r", "h").orderBy("start")  # one text
+    triples = words.select("r", F.xxhash64("term", F.lead("term", 1).over(order), F.lead("term", 2).over(order)).alias("t"))
+    least = triples.groupBy("r").agg(*[F.min(F.xxhash64(F.lit(i), "t")).alias(f"m{i}") for i in range(_COORDINATES)])
+    least = cut(least.select("r", F.array(*[f"m{i}" for i in range(_COORDINATES)]).alias("own")))
+    bands = [F.xxhash64(F.lit(b), *[F.get("own", F.lit(b + i)) for i in range(_BAND)]) for b in range(0, _COORDINATES, _BAND)]
+    shared = least.select("r", F.explode(F.array(*bands)).alias("band"))
+    first = cut(shared.groupBy("band").agg(F.min("r").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("band").alias("of"), "b"))
+    links = shared.join(modest(first), F.col("band") == F.col("of")).where("r <> b").select("r", "b").distinct()
+    both = links.join(least, "r").join(least.select(F.col("r").alias("b"), F.col("own").alias("other")), "b")
+    alike = F.size(F.filter(F.zip_with("own", "other", lambda x, y: x == y), lambda x: x))
+    return connected_components(both.where(alike >= _AGREE).select(F.col("r").alias("a"), "b")).toDF("near", "witness")
+
+
 def disclosing_terms(
     rows: DataFrame, found: DataFrame, disclosure: float = 0.9, residual: float = 0.75, prior: float = 1.0, reach: int = 80
 ) -> DataFrame:
-    """(entity, term, ic, pmi) where the term discloses the entity. Documents are the distinct (r, h).
+    """(entity, term, ic, pmi) where the term discloses the entity. Evidence is counted in texts that are no copies of each other.
 
-    rows: r, h, text; found: r, h, spans. With n documents, n_e of an entity, n_t of a term and n_et that
+    rows: r, h, text; found: r, h, spans. With n texts, n_e of an entity, n_t of a term and n_et that
     have both within `reach` characters, the entity's information is ic = log2(n / n_e) and the term's
     share in it pmi = log2(n n_et / (n_e (n_t + prior))). The term discloses the entity if pmi is at least
-    `disclosure` of ic and leaves at most `residual` bits open. The prior stands for documents not seen: a
-    pair found in one document alone leaves a whole bit open, one of two documents 0.58 bits. Entities
-    of fewer documents than that can have no such term and aren't looked at further.
+    `disclosure` of ic and leaves at most `residual` bits open. The prior stands for texts not seen: a
+    pair found in one text alone leaves a whole bit open, one of two texts 0.58 bits. Like texts are one, and
+    near copies (witnesses()) that have entities count once in all of n_e, n_t and n_et. Entities
+    of fewer texts than that can have no such term and aren't looked at further.
     """
     share = 2.0**-residual
     least = prior * share / (1 - share) if share < 1 else float("inf")
     spans = found.where(F.size("spans") > 0).dropDuplicates(["r", "h"]).select("r", "h", F.explode("spans").alias("s"))
     entity = F.xxhash64("s.kind", F.lower("s.value")).alias("entity")
     mentions = cut(spans.select("r", "h", entity, F.col("s.start").alias("start"), F.col("s.end").alias("end")))
-    by_entity = mentions.select("r", "h", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    by_entity = cut(by_entity.where(F.col("n_e") >= least))
+    several = mentions.select("r", "h", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    several = cut(several.where(F.col("n_e") >= least).select("entity"))
     empty = rows.sparkSession.createDataFrame([], "entity long, term string, ic double, pmi double")
-    if by_entity.isEmpty():
+    if several.isEmpty():
         return empty
     n = found.select("r", "h").distinct().count()
-    own = cut(mentions.join(modest(by_entity.select("entity")), "entity", "left_semi"))
-    words = _terms(rows.join(modest(cut(own.select("r", "h").distinct())), ["r", "h"], "left_semi"))
+    own = cut(mentions.join(modest(several), "entity", "left_semi"))
+    words = cut(_terms(rows.join(modest(cut(own.select("r", "h").distinct())), ["r", "h"], "left_semi")))
+    near_copies = modest(cut(witnesses(words)))
+    told_by = lambda df: df.join(near_copies, F.col("r") == F.col("near"), "left").withColumn("g", F.coalesce("witness", "r"))
+    by_entity = told_by(own).select("g", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    by_entity = cut(by_entity.where(F.col("n_e") >= least))
     s = own.select("r", "h", "entity", F.col("start").alias("s"), F.col("end").alias("e"), _stretches(F.col("start") - reach, F.col("end") + reach, reach))
     w = words.withColumn("stretch", F.floor(F.col("start") / reach))
     near = w.join(s, ["r", "h", "stretch"]).where((F.col("start") >= F.col("s") - reach) & (F.col("end") <= F.col("e") + reach))
     near = cut(near.select("r", "h", "start", "end", "term", "entity"))
-    pairs = _outside(near, mentions, reach).select("r", "h", "entity", "term").distinct()
+    pairs = told_by(_outside(near, mentions, reach).select("r", "entity", "term").distinct()).select("g", "entity", "term").distinct()
     pairs = cut(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= least))
     if pairs.isEmpty():
         return empty
-    known = pairs.join(term_counts(rows, found), "term").join(modest(by_entity), "entity")
+    copies = told_by(words.select("r", "term").distinct()).groupBy("g", "term").agg((F.count(F.lit(1)) - 1).alias("more")).where("more > 0")
+    copies = copies.groupBy("term").agg(F.sum("more").alias("more"))
+    known = pairs.join(term_counts(rows, found), "term").join(copies, "term", "left").join(modest(by_entity), "entity")
+    known = known.withColumn("n_t", F.col("n_t") - F.coalesce("more", F.lit(0)))
     known = known.where(F.col("n_et") >= share * (F.col("n_t") + prior))
     ic = F.log2(F.lit(float(n)) / F.col("n_e"))
     pmi = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * (F.col("n_t") + prior)))
     return known.select("entity", "term", ic.alias("ic"), pmi.alias("pmi")).where((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))
 
 
-def term_spans(docs: DataFrame, id_col: str, text_col: str, reach: int = 80, **thresholds) -> DataFrame | None:
+def term_spans(docs: DataFrame, text_col: str, reach: int = 80, **thresholds) -> DataFrame | None:
     """(r, h, more): the places of disclosing terms, by start, of the documents that have some; None if no document has."""
-    rows = _rows(docs, id_col, text_col)
+    rows = _rows(docs, text_col)
     found = cut(rows.select("r", "h", base_spans(F.col("text")).alias("spans")))
     told = cut(disclosing_terms(rows, found, reach=reach, **thresholds).select("term").distinct())
     if told.isEmpty():
@@ -220,14 +251,14 @@ def term_spans(docs: DataFrame, id_col: str, text_col: str, reach: int = 80, **t
     return cut(hits.groupBy("r", "h").agg(F.array_sort(F.collect_list(place)).alias("more")))
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, **options) -> tuple[DataFrame, str]:
+def _with_spans(docs: DataFrame, text_col: str, **options) -> tuple[DataFrame, str]:
     """docs with the spans of every row, and the name of their column."""
     out, r, h, mine, more = docs, *(free_name(docs, x) for x in ("own_r", "own_h", "private_spans", "more_spans"))
     base = F.transform(base_spans(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), lambda s: F.struct(s["kind"], s["start"], s["end"]))
-    hits = term_spans(docs, id_col, text_col, **options)
+    hits = term_spans(docs, text_col, **options)
     if hits is None:
         return out.withColumn(mine, base), mine
-    keys = _keys(id_col, text_col)
+    keys = _keys(text_col)
     hits = hits.toDF("hit_" + r, "hit_" + h, more)
     same = (F.col(r) == F.col("hit_" + r)) & (F.col(h) == F.col("hit_" + h))
     none = F.expr("CAST(array() AS array<struct<kind:int,start:int,end:int>>)")
@@ -243,10 +274,10 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     that hold (IP parts up to 255, cards of 16 to 19 digits with a right check digit, phones of 8 to 15
     digits). term spans are all places of the terms that disclose an entity (disclosing_terms() names the
     options), in this document or another one, unless they overlap a base span. A null or empty text has
-    no spans; null ids are allowed; rows repeated in id and text get the same spans and count as one
-    document, and copies under other ids count as documents of their own. Other columns are not read.
+    no spans; null ids are allowed; rows of like texts get the same spans and count once as evidence, and so do near
+    copies, whatever their ids. Other columns are not read. An empty table gives no rows.
     """
-    found, mine = _with_spans(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), "doc_id", "text", **options)
+    found, mine = _with_spans(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), "text", **options)
     return found.select("doc_id", F.col(mine).alias("spans"))
 
 
@@ -300,7 +331,7 @@ def generalised(text: Column, spans: Column, block: int = 128) -> Column:
     return F.when(text.isNull(), None).when(F.size(spans) > 0, let(let(far, merged), out)).otherwise(text)
 
 
-def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def sanitise(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """docs with private_spans (as spans of find_private()) and sanitised: the text with every span generalised to its kind.
 
     Overlapping spans become one, named by the first. A null text stays null and an empty one empty; null
@@ -309,5 +340,5 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """
     result = ("private_spans", "sanitised")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in result])
-    found, mine = _with_spans(docs, id_col, text_col, **options)
+    found, mine = _with_spans(docs, text_col, **options)
     return found.withColumn("sanitised", generalised(F.col(f"`{text_col}`"), F.col(mine)))
