@@ -333,9 +333,37 @@ def test_secrets_of_every_alphabet_and_length_are_found_whole():
             assert caught >= 0.9 * n, (name, size, caught)
 
 
+def test_secrets_before_their_word_and_lines_apart():
+    import random
+    import string
+
+    r = random.Random(23)
+    forms = (
+        "{} is the private key",
+        "we sent {} as you asked, it is the bearer that the office uses",
+        "the secret of this machine is written below\n{}\nand nowhere else",
+        "{}\nabove: the credential",
+        "the private " + "and long " * 12 + "{} ends",
+        "credential, {} of auth",
+    )
+    for form in forms:
+        for letters in (string.ascii_lowercase + string.digits, string.ascii_letters + string.digits, "0123456789ABCDEF"):
+            caught = 0
+            for _ in range(40):
+                token = r.choice("0123456789") + "".join(r.choices(letters, k=30)) + r.choice(letters[-6:])
+                text = form.format(token)
+                caught += ("novel", text.index(token), text.index(token) + 32) in secret_scan.find_secrets(text)
+            assert caught >= 36, (form, letters, caught)
+    token = "Zk4vQ9xT2mLp8RwY7sNc3HdJ"
+    assert secret_scan.find_secrets(f"the private part\n\nthe number {token}\n\nauthor") == []
+    tokens = ["".join(r.choices(string.ascii_letters + string.digits, k=28)) for _ in range(300)]
+    assert len(secret_scan.find_secrets("key " + " key\n".join(tokens))) >= 270
+
+
 def test_identifiers_are_no_secrets():
     for token in (
-        "updateAccountStatus4Batch com.example.service.UserService2Impl x509CertificateChainValidator2 getUserById2AndName"
+        "sha256withrsaencryption2048bits AES256GCMnoPaddingCipherSuite santa2023office-party-gift-exchange-list"
+        " updateAccountStatus4Batch com.example.service.UserService2Impl x509CertificateChainValidator2 getUserById2AndName"
         " AWSSecretAccessKeyV4Signer authenticationTokenFactory2 OAuth2AuthorizedClientManager user_id_1234_access_token_expiry"
         " 11111111111111111111 1234567890123456 2024-01-15T10:20:30 abcdefghijklmnopqrstuvwxyz0123456789 token-token-token-12"
     ).split():

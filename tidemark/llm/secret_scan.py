@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and dictionary-primed zstandard novelty.
 
-A candidate is a long token of mixed characters after a sensitive word. Its novelty is the marginal
+A candidate is a long token of mixed characters near a sensitive word. Its novelty is the marginal
 size it adds to the compressed code around it, under a dictionary of identifiers, as a share of what
 random strings of its length and alphabet add there: what the dictionary or the surroundings already
 spell costs next to nothing, a secret costs as much as noise, be it hexadecimal or base64.
@@ -11,8 +11,10 @@ from __future__ import annotations
 import random
 import re
 import string
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -138,13 +140,63 @@ def _mixed(token: str) -> bool:
     return kinds >= 2 and bool(re.search("[0-9]", token))
 
 
-def find_secrets(text: str, least_novelty: float = 0.83, context: int = 48, window: int = 256, words: str = "") -> list[tuple[str, int, int]]:
+#: Parts of a token: a word with its capital, capitals, digits, signs.
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+")
+
+
+@lru_cache(maxsize=256)
+def _jumps(alphabet: str) -> float:
+    """How often a character of noise begins a part."""
+    noise = _noise(alphabet, 4096)[0]
+    return (len(_PARTS.findall(noise)) - 1) / (len(noise) - 1)
+
+
+def jumpiness(token: str) -> float:
+    """Parts of a token as a share of those of noise of its kind; identifiers of several words have few."""
+    return (len(_PARTS.findall(token)) - 1) / (len(token) - 1) / _jumps(_alphabet(token))
+
+
+def _candidates(text: str, context: int) -> Iterator[tuple[int, int]]:
+    """Tokens that begin within `context` characters after a sensitive word or end within so many before it, on its line or the
+    next one to it; each once, with the dotted parts that adjoin it."""
+    ends: list[int] | None = None
+    tried: set[int] = set()
+    seen = 0
+    for hint in _SENSITIVE.finditer(text):
+        line_end = text.find("\n", hint.end())
+        line_end = text.find("\n", line_end + 1) if line_end >= 0 else -1
+        line_end = len(text) if line_end < 0 else line_end
+        stop = min(hint.end() + context, line_end)
+        at = max(seen, hint.end())
+        while at <= stop and (m := _CANDIDATE.search(text, at, line_end)) and m.start() <= stop:
+            s, e = m.span()
+            while s - 1 > at and text[s - 1] == ".":  # shorter parts before it
+                part = _LAST_PART.search(text[max(at, s - 1 - 15) : s - 1])
+                if not part:
+                    break
+                s -= 1 + len(part[0])
+            at = seen = e
+            if e not in tried:
+                tried.add(e)
+                yield s, e
+        if ends is None:
+            tokens = [m.span() for m in _CANDIDATE.finditer(text)]
+            ends = [e for _, e in tokens]
+        for k in range(bisect_right(ends, hint.start()) - 1, -1, -1):
+            s, e = tokens[k]
+            if e < hint.start() - context or text.count("\n", e, hint.start()) > 1 or e in tried:
+                break  # those before it were tried with it, or are too far
+            tried.add(e)
+            yield s, e
+
+
+def find_secrets(text: str, least_novelty: float = 0.83, context: int = 160, window: int = 256, words: str = "", least_jumps: float = 0.45) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, end exclusive, ordered by start and kind.
 
     assign, access and hex are the leftmost non-overlapping matches of their patterns; a match that is
-    too short is dropped. A novel span is a candidate that starts in the `context` characters after a
-    sensitive word, on its line, that no base span holds whole and whose novelty reaches least_novelty;
-    `window` characters on each side are the surroundings and words more of the dictionary. It runs to the end of its token and of the
+    too short is dropped. A novel span is a candidate near a sensitive word, before or after it, that no base span holds whole,
+    whose novelty reaches least_novelty and whose changes of case, digits and signs are no fewer than least_jumps of those of noise.
+    `window` characters on each side are the surroundings and words more of the dictionary. A candidate runs to the end of its token and of the
     dotted parts that adjoin it, however long. The body of a PEM block is one candidate, touched or not.
     """
     spans: list[tuple[int, int, int]] = []
@@ -159,25 +211,14 @@ def find_secrets(text: str, least_novelty: float = 0.83, context: int = 48, wind
         for s, e in _pem_bodies(text):
             if _mixed(text[s:e]) and novel(s, e):
                 spans.append((s, 3, e))
-        base = sorted(spans)
-        # Candidates start within reach of a sensitive word, so only what follows one is looked at.
-        seen = 0
-        for hint in _SENSITIVE.finditer(text):
-            line_end = text.find("\n", hint.end())
-            stop = min(hint.end() + context, len(text) if line_end < 0 else line_end)
-            at = max(seen, hint.end())
-            while at <= stop and (m := _CANDIDATE.search(text, at, len(text) if line_end < 0 else line_end)) and m.start() <= stop:
-                s, e = m.span()
-                while s - 1 > at and text[s - 1] == ".":  # shorter parts before it
-                    part = _LAST_PART.search(text[max(at, s - 1 - 15) : s - 1])
-                    if not part:
-                        break
-                    s -= 1 + len(part[0])
-                at = seen = e
-                if not _mixed(text[s:e]) or any(a <= s and e <= b for a, _, b in base):
-                    continue
-                if novel(s, e):
-                    spans.append((s, 3, e))
+        base = sorted((s, e) for s, _, e in spans)
+        starts, reach = [s for s, _ in base], list(accumulate((e for _, e in base), max))
+        for s, e in _candidates(text, context):
+            k = bisect_right(starts, s)
+            if k and reach[k - 1] >= e:  # a base span holds it
+                continue
+            if _mixed(text[s:e]) and jumpiness(text[s:e]) >= least_jumps and novel(s, e):
+                spans.append((s, 3, e))
     return [(KINDS[k], s, e) for s, k, e in sorted(spans)]
 
 
