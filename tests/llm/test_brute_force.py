@@ -452,6 +452,46 @@ def test_line_dedup(docs):
         assert multiset((r.doc_id, r.text) for r in got) == multiset(want)
 
 
+def test_lines_that_differ_in_a_counter(spark):
+    """Dense groups, with lines among them that few links or none join; the links join what all pairs join."""
+    import random
+    import time
+
+    r = random.Random(12)
+    head, tail = "2024-01-15 worker: the request was served as usual, number ", " of the day, and nothing else is to be said"
+    lines = [f"{head}{i:04}{tail}" for i in range(0, 1500, 5)] + [f"{head}{i * 1_111_111_111}{tail}" for i in range(1, 9)]
+    lines += [f"{head}{r.getrandbits(40):012}{tail}" for _ in range(40)] + [f"{head}{i}x{tail}" for i in ("ABCDEF", "ABCDEG", "ABGHIG")]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").repartition(3)
+    name = {x.id: x.line for x in line_dedup._lines(docs, "doc_id", "text", 40).collect()}
+    root = {x: x for x in lines}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    want = dict(root)
+    for i, a in enumerate(lines):
+        for b in lines[:i]:
+            if find(a) != find(b) and line_dedup.within(a, b, 2):
+                root[find(a)] = find(b)
+    want = {x: find(x) for x in lines}
+    for block, rounds in ((16, 3), (16, 1), (64, 2)):
+        root = {x: x for x in lines}
+        for x in line_dedup.line_links(docs, 2, 40, block=block, rounds=rounds).collect():
+            assert line_dedup.within(name[x.a], name[x.b], 2)
+            root[find(name[x.a])] = find(name[x.b])
+        groups = {}
+        for x in lines:
+            groups.setdefault(want[x], set()).add(find(x))
+        assert all(len(g) == 1 for g in groups.values()) and len({find(x) for x in lines}) == len(groups)
+    many = spark.createDataFrame([(i, f"{head}{i:05}{tail}") for i in range(20_000)], "doc_id long, text string").repartition(8)
+    start = time.time()
+    assert line_dedup.dedup_lines(many).agg({"n_dropped": "sum"}).first()[0] == 19_999
+    print("20,000 lines that differ in a counter:", time.time() - start)
+    assert time.time() - start < 240
+
+
 def test_keys_that_many_lines_share_are_refined_and_lose_no_link(spark):
     import random
 

@@ -26,7 +26,7 @@ LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 __all__ = [
-    "ALNUM_LOWER", "LOWER_ASCII", "NOT_ALNUM", "alnum_words", "arrow_map", "connected_components", "cut", "ensure_checkpoint_dir",
+    "across_labels", "ALNUM_LOWER", "LOWER_ASCII", "NOT_ALNUM", "alnum_words", "arrow_map", "connected_components", "cut", "ensure_checkpoint_dir",
     "free_name", "in_blocks", "modest", "remove", "ship", "text_key", "texts",
 ]
 
@@ -131,3 +131,25 @@ def in_blocks(rows: DataFrame, key: str, salt: Column, block: int) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
     return small.unionByName(dealt.drop("in_all", "blocks", "own", "other"))
+
+
+def across_labels(rows: DataFrame, key: str, salt: Column, block: int) -> DataFrame:
+    """rows (key, label, ...) with p and q: any two rows of a key but those of its largest label meet in one group (key, p, q).
+
+    A key of up to `block` rows is one group. In a larger one the rows of its largest label are dealt into blocks by salt, and
+    so are all others; each block of others meets every block, so few others cost few groups, however many rows there are.
+    """
+    large = cut(rows.groupBy(F.col(key).alias("of_key")).agg(F.count(F.lit(1)).alias("in_all")).where(F.col("in_all") > block))
+    if large.isEmpty():
+        return rows.withColumns({"p": F.lit(0), "q": F.lit(0)})
+    labels = rows.join(modest(large), F.col(key) == F.col("of_key")).groupBy("of_key", "in_all", "label").agg(F.count(F.lit(1)).alias("n"))
+    top = labels.groupBy("of_key", "in_all").agg(F.max(F.struct("n", "label")).alias("top"))
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    sizes = cut(top.select("of_key", F.col("top.label").alias("most"), blocks(F.col("top.n")).alias("ps"), blocks(F.col("in_all") - F.col("top.n")).alias("qs")))
+    small = rows.join(modest(sizes), F.col(key) == F.col("of_key"), "left_anti").withColumns({"p": F.lit(0), "q": F.lit(0)})
+    dealt = rows.join(modest(sizes.where("qs > 0")), F.col(key) == F.col("of_key"))
+    first = F.col("label") == F.col("most")
+    own = F.when(first, F.pmod(salt, "ps")).otherwise(F.col("ps") + F.pmod(salt, "qs")).cast("int")
+    others = F.explode(F.sequence(F.when(first, F.col("ps")).otherwise(0), F.col("ps") + F.col("qs") - 1))
+    dealt = dealt.withColumn("own", own).withColumn("other", others).withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
+    return small.unionByName(dealt.drop("of_key", "most", "ps", "qs", "own", "other"))

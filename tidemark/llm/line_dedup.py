@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, connected_components, cut, free_name, in_blocks, modest, text_key
+from .common import across_labels, arrow_map, connected_components, cut, free_name, modest, text_key
 
 INDEX, PROBE = 1, 2
 
@@ -214,15 +214,16 @@ def _verify(edits: int):
         for batch in batches:
             out: list[tuple[int, int]] = []
             for group in batch.column(0).to_pylist():
-                out += spanning_links([(x["id"], x["role"], x["line"]) for x in group], edits)
+                out += spanning_links([(x["id"], x["role"], x["line"]) for x in group], edits, [x["label"] for x in group])
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return run
 
 
-def spanning_links(lines: list[tuple[int, int, str]], edits: int) -> list[tuple[int, int]]:
-    """Verified links that join all lines of a key which links join; pairs joined already aren't compared."""
-    root = list(range(len(lines)))
+def spanning_links(lines: list[tuple[int, int, str]], edits: int, labels: list | None = None) -> list[tuple[int, int]]:
+    """Verified links that join all lines of a key which links join; pairs joined already, or of one label, aren't compared."""
+    first: dict = {}
+    root = [first.setdefault(x, i) for i, x in enumerate(labels)] if labels else list(range(len(lines)))
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -240,6 +241,35 @@ def spanning_links(lines: list[tuple[int, int, str]], edits: int) -> list[tuple[
     return out
 
 
+def _searched(groups: DataFrame, lines: DataFrame, edits: int, *by: str) -> DataFrame:
+    """Links of the lines that groups (by, id, role, label) hold."""
+    lists = groups.join(lines, "id").groupBy("key", *by).agg(F.collect_list(F.struct("id", "role", "line", "label")).alias("lines"))
+    return arrow_map(lists.where(F.size("lines") > 1).select("lines"), _verify(edits), "a long, b long")
+
+
+def _dense(keys: DataFrame, lines: DataFrame, edits: int, block: int, rounds: int) -> tuple[DataFrame | None, DataFrame]:
+    """Links found in keys of over `block` lines with their lines dealt into blocks, `rounds` times anew; and (of, label): what
+    they join. A line is searched once a round and key, so lines that differ in a counter become one without all pairs."""
+    none = keys.sparkSession.createDataFrame([], "of long, label long")
+    large = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block))
+    if large.isEmpty():
+        return None, none
+    rows = cut(keys.join(modest(large), "key").withColumn("label", F.col("id")))
+    links, label = None, none
+    for k in range(rounds):
+        dealt = rows.withColumn("q", F.pmod(F.xxhash64("id", F.lit(k)), F.ceil(F.col("n") / block)))
+        found = cut(_searched(dealt, lines, edits, "q"))
+        links = found if links is None else links.unionByName(found)
+        label = cut(connected_components(links).select(F.col("node").alias("of"), F.col("component").alias("label")))
+        rows = rows.drop("label").join(modest(label), F.col("id") == F.col("of"), "left").withColumn("label", F.coalesce("label", "id")).drop("of")
+        # Keys whose lines are one are done.
+        open_ = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+        rows = cut(rows.join(modest(cut(open_)), "key", "left_semi"))
+        if rows.isEmpty():
+            break
+    return links, label
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str, least: int, short: bool = False) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("h"), F.posexplode(F.split(text, "\n")).alias("nth", "line"))
@@ -249,12 +279,12 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, least: int, short: bool
     return rows.where(wanted).withColumns({"id": F.xxhash64("line"), "check": F.hash("line")})
 
 
-def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 256, broadcast_ids: int = 1_000_000, levels: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 256, broadcast_ids: int = 1_000_000, levels: int = 3, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b): links of distinct lines within `edits` edits that join all lines which such links join.
 
     A line is named by its XXH64. Lines shorter than `least` characters are left out. A key of over `block`
-    lines is refined up to `levels` times; what is still larger is searched in groups of at most about
-    2 * block lines, every pair of blocks by itself. Keys that lines share and ids of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
+    lines is searched in blocks of its lines first, `rounds` times; where lines are left that these don't join, it is refined up to
+    `levels` times, and what is still larger is searched in pairs of blocks, as far as their lines aren't joined. Keys that lines share and ids of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
     """
     keys = arrow_map(docs.select(F.col(text_col)), _segments(edits, least), "key long, id long, role byte")
     # Sums by key are made partially in each task, so no task gathers the rows of a key that very many lines share.
@@ -266,10 +296,20 @@ def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 25
     few = ids.count() <= broadcast_ids
     lines = _lines(docs, id_col, text_col, least).join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted"))
     lines = cut(lines.select("id", "line").dropDuplicates(["id"]))
-    keys = _refine(keys, lines, edits, block, levels)
-    groups = in_blocks(keys, "key", F.xxhash64("id"), block).join(lines, "id")
-    groups = groups.groupBy("key", "p", "q").agg(F.collect_list(F.struct("id", "role", "line")).alias("lines")).where(F.size("lines") > 1)
-    return arrow_map(groups.select("lines"), _verify(edits), "a long, b long")
+    links, label = _dense(keys, lines, edits, block, rounds)
+    if links is None:
+        return _searched(keys.withColumns({"label": F.col("id"), "p": F.lit(0), "q": F.lit(0)}), lines, edits, "p", "q")
+    label = modest(label)
+    keys = _open(keys, label).drop("label")
+    keys = _open(_refine(keys, lines, edits, block, levels), label)
+    return _searched(across_labels(keys, "key", F.xxhash64("id"), block), lines, edits, "p", "q").unionByName(links)
+
+
+def _open(keys: DataFrame, label: DataFrame) -> DataFrame:
+    """keys with the label of each line, without the keys whose lines have one label."""
+    rows = keys.join(label, F.col("id") == F.col("of"), "left").withColumn("label", F.coalesce("label", "id")).drop("of")
+    one = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo = hi").select("key")
+    return rows.join(modest(cut(one)), "key", "left_anti")
 
 
 def repeated_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str = "doc_id", text_col: str = "text", short: bool = False, **options) -> DataFrame:
