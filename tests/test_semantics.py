@@ -13,6 +13,7 @@ from tidemark.plans import cohorts, headline, market_model, markets, operations,
 from tidemark.registry import PULL, queries, run_all
 from tidemark.sources import catalog, sinks
 from tidemark.sources.constants import COHORT_CURVE, FLAGGED, fx_rates
+from tidemark.sources.facts import BucketedWarehouse, write_bucketed
 from tidemark.sources.params import AsOf
 from tidemark.sources.versions import Versions
 from tidemark.sources.warehouse import SchemaMismatch, Warehouse, checked
@@ -450,6 +451,39 @@ def test_a_chain_of_100_000_is_counted(spark):
     assert hierarchy.with_ancestors(chain, spark.createDataFrame([(70_000,)], "id long")).agg(F.max("id"), F.count("*")).first() == (70_000, 70_001)
 
 
+def test_bucketed_facts_are_not_shuffled(spark, wh, small):
+    write_bucketed(wh, "tidemark_test", buckets=3)
+    kept = BucketedWarehouse(spark, small, "tidemark_test")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for view in ("sales", "invoices"):
+            for bounds in ({}, {"since": date(1998, 1, 1), "until": date(1999, 1, 1)}):
+                got, want = getattr(kept, view)(**bounds), getattr(wh, view)(**bounds)
+                assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+            p = plan(getattr(kept, view)())
+            keys = ("hashpartitioning(k#", "hashpartitioning(l_orderkey#", "hashpartitioning(o_orderkey#")
+            assert "SortMergeJoin" in p and not any(k in p for k in keys)
+            assert any(k in plan(getattr(wh, view)()) for k in keys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for t in ("orders", "lineitem"):
+            spark.sql(f"DROP TABLE tidemark_test_{t}")
+
+
+def test_a_run_scans_the_lines_twice(spark, wh, small, monkeypatch):
+    read = []
+    real = Warehouse.table
+    monkeypatch.setattr(Warehouse, "table", lambda self, name: read.append(name) or real(self, name))
+    out = run_all(spark, small)
+    assert read.count("lineitem") == 2
+    monkeypatch.undo()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    for name in ("kpis", "monthly", "diagnostics", "revenue_sample", "unified_merchant", "cohorts"):
+        want = PULL[name](wh, AsOf())
+        assert sorted(map(repr, out[name].collect())) == sorted(map(repr, want.collect())), name
+
+
 def test_entry_points(spark, small):
     import __spark_entry__ as entry
 

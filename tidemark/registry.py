@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from .plans import cohorts, headline, market_model, markets, operations, postprocess, report
 from .plans.primitives import PRIMITIVES
 from .sources import catalog
+from .sources.facts import HeldWarehouse
 from .sources.params import AsOf
 from .sources.warehouse import Warehouse
 
@@ -105,17 +106,19 @@ def queries(as_of: AsOf = AsOf()) -> dict[str, Query]:
 def run_all(spark: SparkSession, sf_dir: str, names: Iterable[str] = tuple(PULL), as_of: AsOf = AsOf()) -> dict[str, DataFrame]:
     """Runs queries one after the other and holds their results; all are bounded reports.
 
-    A query that Spark refuses is logged and gives no rows, under its own schema where it can be planned,
+    The daily pull's queries share one warehouse, which holds what they take from the lines and is released
+    at the end. A query that Spark refuses is logged and gives no rows, under its own schema where it can be planned,
     and the others go on.
     """
     known, out = queries(as_of), {}
-    for name in names:
-        schema = T.StructType()
-        try:
-            df = known[name](spark, sf_dir)
-            schema = df.schema
-            out[name] = spark.createDataFrame(df.collect(), schema)
-        except PySparkException as e:
-            log.warning("%s failed: %s", name, str(e).splitlines()[0])
-            out[name] = spark.createDataFrame([], schema)
+    with HeldWarehouse(spark, sf_dir) as held:
+        for name in names:
+            schema = T.StructType()
+            try:
+                df = PULL[name](held, as_of) if name in PULL else known[name](spark, sf_dir)
+                schema = df.schema
+                out[name] = spark.createDataFrame(df.collect(), schema)
+            except PySparkException as e:
+                log.warning("%s failed: %s", name, str(e).splitlines()[0])
+                out[name] = spark.createDataFrame([], schema)
     return out

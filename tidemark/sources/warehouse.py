@@ -90,6 +90,14 @@ class Warehouse:
             ),
         )
 
+    def order_lines(self, wanted: DataFrame | None = None) -> DataFrame:
+        """(k, lines): the lines of each order; of at least the wanted ones if some are."""
+        lines = self.table("lineitem").select(F.col("l_orderkey").alias("k"))
+        if wanted is not None:
+            few = wanted.count() <= self.broadcast_keys
+            lines = lines.join(F.broadcast(wanted) if few else wanted, F.col("k") == F.col("wanted"), "left_semi")
+        return lines.groupBy("k").agg(F.count(F.lit(1)).alias("lines"))
+
     def sales(self, since: date | None = None, until: date | None = None) -> DataFrame:
         """Sales of a merchant in a month. Lines are counted by order before the join, so only counts meet orders.
 
@@ -98,12 +106,7 @@ class Warehouse:
         by the key once, which the count and the join then have in common.
         """
         orders = bounded(self.table("orders"), "o_orderdate", since, until).select("o_orderkey", "o_custkey", "o_orderdate")
-        lines = self.table("lineitem").select(F.col("l_orderkey").alias("k"))
-        if since or until:
-            keys = orders.select(F.col("o_orderkey").alias("wanted"))
-            few = keys.count() <= self.broadcast_keys
-            lines = lines.join(F.broadcast(keys) if few else keys, F.col("k") == F.col("wanted"), "left_semi")
-        lines = lines.groupBy("k").agg(F.count(F.lit(1)).alias("lines"))
+        lines = self.order_lines(orders.select(F.col("o_orderkey").alias("wanted")) if since or until else None)
         month = F.date_format("o_orderdate", "yyyy-MM")
         df = orders.join(lines, F.col("o_orderkey") == F.col("k")).groupBy(F.col("o_custkey").alias("merchant_id"), month.alias("month"))
         return checked("sales", df.agg(F.sum("lines").alias("sales_count")))
