@@ -222,6 +222,7 @@ def decontaminate(
     benchmark has more than one block and more texts are hit than a broadcast may hold. Repeated rows are judged alike. A null or empty text has no words and no hits. Null item ids stand
     as 'null'; items alike in id are one item; items without words give no pattern; without any
     pattern nothing is hit. Columns of docs named like a result column, in any case, give way to it.
+    An empty table gives an empty one.
     """
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in [n for n, _, _ in RESULT]])
     pieces = _pieces(benchmark, window, chunk_words, item_col, item_text_col)

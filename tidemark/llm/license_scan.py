@@ -174,6 +174,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     where nothing is found. A null or empty text has no words. Null ids are allowed, and repeated rows
     get the same result. Other columns are not read. Words are split on the text lower-cased as a
     whole, which neither moves a bound between words nor turns another letter into one of a phrase.
+    An empty table gives an empty one.
     """
     spans = license_spans(docs, id_col=id_col, text_col=text_col, **options)
     starts = F.flatten(F.collect_list(F.when(F.col("is_base"), F.col("places"))))

@@ -368,6 +368,7 @@ def dedup_lines(docs: DataFrame, edits: int = 2, least: int = 40, id_col: str =
     lines all stand elsewhere is left with an empty text. Null texts stay null and have no lines; null
     ids come last in the order of documents; rows alike in id and text lose the same lines. Columns of
     docs named like a result column, in any case, give way to it.
+    An empty table gives an empty one.
     """
     result = ("n_lines", "n_dropped", "n_near")
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in result])

@@ -281,6 +281,7 @@ def encode_pieces(docs: DataFrame, model: bytes, text_col: str = "text", check:
     of merges if the model is BPE.
     Segmentations of short chunks are kept in a table of bounded size for each worker. Columns of docs
     named like a result column, in any case, give way to it.
+    An empty table gives an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = [("pieces", T.ArrayType(T.IntegerType())), ("n_pieces", T.LongType()), ("n_byte_pieces", T.LongType())]

@@ -140,6 +140,7 @@ def simhash_components(
     of them costs one row. A null or empty text, or one without words, has fingerprint 0, which links
     like any other. Null ids count as greater than all others: a component of null ids alone has
     component_id null. Repeated rows stay, each with the same result. Other columns are not read.
+    An empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = cut(arrow_map(rows, _fingerprints("text", shingle, seed), "doc_id long, fp long"))
