@@ -478,7 +478,7 @@ def test_lines_that_differ_in_a_counter(spark):
     want = {x: find(x) for x in lines}
     for block, rounds in ((16, 3), (16, 1), (64, 2)):
         root = {x: x for x in lines}
-        for x in line_dedup.line_links(docs, 2, 40, block=block, rounds=rounds).collect():
+        for x in line_dedup.line_links(docs, 2, 40, block=block, rounds=rounds, dense=block).collect():
             assert line_dedup.within(name[x.a], name[x.b], 2)
             root[find(name[x.a])] = find(name[x.b])
         groups = {}

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import across_labels, arrow_map, connected_components, cut, free_name, modest, text_key
+from .common import across_labels, arrow_map, connected_components, cut, free_name, in_blocks, modest, text_key
 
 INDEX, PROBE = 1, 2
 
@@ -247,27 +247,16 @@ def _searched(groups: DataFrame, lines: DataFrame, edits: int, *by: str) -> Data
     return arrow_map(lists.where(F.size("lines") > 1).select("lines"), _verify(edits), "a long, b long")
 
 
-def _dense(keys: DataFrame, lines: DataFrame, edits: int, block: int, rounds: int) -> tuple[DataFrame | None, DataFrame]:
-    """Links found in keys of over `block` lines with their lines dealt into blocks, `rounds` times anew; and (of, label): what
-    they join. A line is searched once a round and key, so lines that differ in a counter become one without all pairs."""
-    none = keys.sparkSession.createDataFrame([], "of long, label long")
-    large = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block))
+def _dense(keys: DataFrame, lines: DataFrame, edits: int, block: int, rounds: int, dense: int) -> tuple[DataFrame, DataFrame] | None:
+    """Links found in keys of over `dense` lines with their lines dealt into blocks, `rounds` times; and (of, label): what they
+    join. None if no key is so large. A line is searched `rounds` times a key, so lines that differ in a counter become one
+    without all pairs."""
+    large = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > dense))
     if large.isEmpty():
-        return None, none
-    rows = cut(keys.join(modest(large), "key").withColumn("label", F.col("id")))
-    links, label = None, none
-    for k in range(rounds):
-        dealt = rows.withColumn("q", F.pmod(F.xxhash64("id", F.lit(k)), F.ceil(F.col("n") / block)))
-        found = cut(_searched(dealt, lines, edits, "q"))
-        links = found if links is None else links.unionByName(found)
-        label = cut(connected_components(links).select(F.col("node").alias("of"), F.col("component").alias("label")))
-        rows = rows.drop("label").join(modest(label), F.col("id") == F.col("of"), "left").withColumn("label", F.coalesce("label", "id")).drop("of")
-        # Keys whose lines are one are done.
-        open_ = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-        rows = cut(rows.join(modest(cut(open_)), "key", "left_semi"))
-        if rows.isEmpty():
-            break
-    return links, label
+        return None
+    rows = keys.join(modest(large), "key").withColumns({"label": F.col("id"), "k": F.explode(F.sequence(F.lit(1), F.lit(rounds)))})
+    links = cut(_searched(rows.withColumn("q", F.pmod(F.xxhash64("id", "k"), F.ceil(F.col("n") / block))), lines, edits, "k", "q"))
+    return links, cut(connected_components(links).select(F.col("node").alias("of"), F.col("component").alias("label")))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, least: int, short: bool = False) -> DataFrame:
@@ -279,12 +268,13 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, least: int, short: bool
     return rows.where(wanted).withColumns({"id": F.xxhash64("line"), "check": F.hash("line")})
 
 
-def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 256, broadcast_ids: int = 1_000_000, levels: int = 3, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 256, broadcast_ids: int = 1_000_000, levels: int = 3, rounds: int = 3, dense: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b): links of distinct lines within `edits` edits that join all lines which such links join.
 
-    A line is named by its XXH64. Lines shorter than `least` characters are left out. A key of over `block`
-    lines is searched in blocks of its lines first, `rounds` times; where lines are left that these don't join, it is refined up to
-    `levels` times, and what is still larger is searched in pairs of blocks, as far as their lines aren't joined. Keys that lines share and ids of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
+    A line is named by its XXH64. Lines shorter than `least` characters are left out. A key of over `dense` lines (8 blocks) is
+    searched in blocks of its lines first, dealt `rounds` times; where lines are left that these don't join, and in other keys of
+    over `block` lines, it is refined up to `levels` times, and what is still larger is searched in pairs of blocks, as far as
+    its lines aren't joined. Keys that lines share and ids of candidates are broadcast up to broadcast_ids of them, and joined by a shuffle beyond.
     """
     keys = arrow_map(docs.select(F.col(text_col)), _segments(edits, least), "key long, id long, role byte")
     # Sums by key are made partially in each task, so no task gathers the rows of a key that very many lines share.
@@ -296,12 +286,12 @@ def line_links(docs: DataFrame, edits: int = 2, least: int = 40, block: int = 25
     few = ids.count() <= broadcast_ids
     lines = _lines(docs, id_col, text_col, least).join(F.broadcast(ids) if few else ids, F.col("id") == F.col("wanted"))
     lines = cut(lines.select("id", "line").dropDuplicates(["id"]))
-    links, label = _dense(keys, lines, edits, block, rounds)
-    if links is None:
-        return _searched(keys.withColumns({"label": F.col("id"), "p": F.lit(0), "q": F.lit(0)}), lines, edits, "p", "q")
-    label = modest(label)
-    keys = _open(keys, label).drop("label")
-    keys = _open(_refine(keys, lines, edits, block, levels), label)
+    found = _dense(keys, lines, edits, block, rounds, 8 * block if dense is None else dense)
+    if found is None:
+        groups = in_blocks(_refine(keys, lines, edits, block, levels), "key", F.xxhash64("id"), block)
+        return _searched(groups.withColumn("label", F.col("id")), lines, edits, "p", "q")
+    links, label = found[0], modest(found[1])
+    keys = _open(_refine(_open(keys, label).drop("label"), lines, edits, block, levels), label)
     return _searched(across_labels(keys, "key", F.xxhash64("id"), block), lines, edits, "p", "q").unionByName(links)
 
 
