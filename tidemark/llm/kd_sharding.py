@@ -5,8 +5,10 @@ floor(k/2) / k of its bytes, until each leaf has the target bytes. Medians are f
 the rows of all nodes of a level are summed by the digits of (coordinate, text hash, id hash), most
 significant first, and only the digit that the median falls into is looked at again. Ties in the
 coordinate are ordered by text, which keeps equal texts together unless their group is too heavy for
-its shard. The nodes are a table: running sums over at most 4,096 digits of a node pick the digit, for
-all nodes of a level at once, and the driver sees only whether a level is done.
+its shard. The nodes are a table: running sums over at most 4,096 digits of a node, and the heavy texts (no
+more than shards / slack in all), pick the digit for all nodes of a level at once, and the driver sees only
+whether a level is done. So a level takes two passes over its rows, and one or two more where a cut falls
+into a heavy text.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from .common import cut, text_key
 #: A digit of a key has 12 bits; hashes keep 60.
 DIGIT, DIGITS = 12, 5
 _ALL = (1 << DIGIT * DIGITS) - 1
+#: Bit above a text's hash that is set for texts of which all copies weigh more than a cut may be off: they come last in their coordinate.
+_HEAVY = 1 << DIGIT * DIGITS
 
 
 def category(c: Column) -> Column:
@@ -76,10 +80,11 @@ def kd_shards(
         *[c.alias(n) for c, n in zip(dims, names, strict=True)],
     )
     rows = cut(rows)
-    groups = rows.groupBy("h").agg(*[F.min(n).alias(f"g{n}") for n in names], F.count(F.lit(1)).alias("n"))
+    groups = rows.groupBy("h").agg(*[F.min(n).alias(f"g{n}") for n in names], F.sum("size").alias("in_all"), F.count(F.lit(1)).alias("n"))
     groups = cut(groups.where("n > 1").drop("n").withColumnRenamed("h", "gh"))
     rows = rows.join(groups, F.col("h") == F.col("gh"), "left")
-    rows = cut(rows.select("doc_id", "size", "text_crc32", "h", "d", *[F.coalesce(f"g{n}", n).alias(n) for n in names]))
+    own = [F.coalesce(f"g{n}", n).alias(n) for n in names]
+    rows = cut(rows.select("doc_id", "size", "text_crc32", "h", "d", *own, F.coalesce("in_all", "size").alias("in_all")))
 
     whole = rows.agg(F.sum("size").alias("b"), *[F.max(n).alias(f"hi{n}") for n in names], *[F.min(n).alias(f"lo{n}") for n in names]).first()
     total = whole["b"] or 0
@@ -90,82 +95,85 @@ def kd_shards(
 
     # A level has no more nodes than there are shards, so their number needs no counting.
     small_side = F.broadcast if n_shards <= 1_000_000 else lambda df: df
-    # Node i has the children 2i + 1 and 2i + 2; its leaves are the shards first, first + 1, ...
-    nodes = cut(spark.range(1).select(F.lit(0).cast("long").alias("node"), F.lit(n_shards).cast("long").alias("leaves"), F.lit(0).cast("long").alias("first")))
-    placed = rows.withColumn("node", F.lit(0).cast("long"))
-    left = F.floor(F.col("leaves") / 2)
+    # A node is its first shard and its number of leaves; a row carries both.
+    h = F.when(F.col("in_all") > light, F.col("h").bitwiseOR(_HEAVY)).otherwise(F.col("h")).alias("h")
+    columns = ["doc_id", "size", "text_crc32", "d", *names]
+    placed = rows.select(*columns, h, F.lit(0).cast("long").alias("shard"), F.lit(n_shards).cast("long").alias("leaves"))
     for depth in range(math.ceil(math.log2(n_shards))):
-        spread = placed.groupBy("node").agg(F.sum("size").alias("weight"), *[((F.max(n) - F.min(n)) / s).alias(n) for n, s in zip(names, span, strict=True)])
-        level = nodes.where("leaves > 1").join(spread, "node", "left")
+        widths = [((F.max(n) - F.min(n)) / s).alias(n) for n, s in zip(names, span, strict=True)]
+        spread = placed.where("leaves > 1").groupBy(F.col("shard").alias("node"), F.col("leaves").alias("of")).agg(F.sum("size").alias("weight"), *widths)
         widest = F.array_max(F.array(*[F.struct(F.col(n).alias("width"), F.lit(-i).alias("i")) for i, n in enumerate(names)]))["i"]
-        level = level.select(
-            "node", "leaves", "first",
-            F.coalesce(-widest, F.lit(0)).alias("dim"),
-            (F.col("weight") * left / F.col("leaves")).alias("want"),
-            *[F.lit(0).cast("long").alias(f"k{i}") for i in range(3)],
-            F.lit(0).alias("round"),
-            F.col("weight").isNull().alias("done"),
+        level = spread.select(
+            "node", "of", F.floor(F.col("of") / 2).alias("left"), (-widest).alias("dim"), (F.col("weight") * F.floor(F.col("of") / 2) / F.col("of")).alias("want"),
+            *[F.lit(0).cast("long").alias(f"k{i}") for i in range(3)], F.lit(0).alias("round"), F.lit(False).alias("done"),
         )
+        # Most cuts are fixed by the coordinate and one digit of the text's hash, so these two rounds are one plan.
+        for _ in range(2):
+            level = _narrowed(placed, level, m, light, small_side)
         level = cut(level)
         while not level.where("NOT done").isEmpty():
-            level = cut(_narrowed(placed, level, m, light, small_side))
+            level = cut(level.where("done").unionByName(_narrowed(placed, level.where("NOT done"), m, light, small_side)))
         mine = _pick(m)
         less = (mine < F.col("k0")) | (
             (mine == F.col("k0")) & ((F.col("h") < F.col("k1")) | ((F.col("h") == F.col("k1")) & (F.col("d") < F.col("k2"))))
         )
-        child = F.when(F.col("k0").isNull(), F.col("node")).otherwise(F.col("node") * 2 + F.when(less, 1).otherwise(2))
-        placed = placed.join(small_side(level.select("node", "dim", "k0", "k1", "k2")), "node", "left")
-        placed = placed.select("doc_id", "size", "text_crc32", "h", "d", *names, child.alias("node"))
+        placed = placed.join(small_side(level.drop("want", "round", "done")), F.col("shard") == F.col("node"), "left")
+        leaf = F.col("node").isNull()
+        placed = placed.select(
+            *columns, "h",
+            F.when(leaf | less, F.col("shard")).otherwise(F.col("shard") + F.col("left")).alias("shard"),
+            F.when(leaf, F.col("leaves")).when(less, F.col("left")).otherwise(F.col("leaves") - F.col("left")).alias("leaves"),
+        )
         if depth % 2:
             placed = cut(placed)
-        halves = F.array(
-            F.struct((F.col("node") * 2 + 1).alias("node"), left.alias("leaves"), F.col("first")),
-            F.struct((F.col("node") * 2 + 2).alias("node"), (F.col("leaves") - left).alias("leaves"), (F.col("first") + left).alias("first")),
-        )
-        nodes = cut(nodes.where("leaves = 1").unionByName(level.select(F.inline(halves))))
-    placed = placed.join(small_side(nodes.select("node", "first")), "node").select(
-        "doc_id", "size", "text_crc32", F.col("first").cast("int").alias("shard"), "h", "d"
-    )
+    placed = placed.select("doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), "h", "d")
     return _slots(cut(placed), n_shards, slot_rows)
 
 
 def _narrowed(placed: DataFrame, level: DataFrame, dims: int, light: float, small_side) -> DataFrame:
-    """level with the cut of every open node fixed, or one digit of it.
+    """level with the cut of every open node fixed, or one digit of it; nodes that are done stay as they are.
 
     Round 0 looks at the coordinate, the rounds 1 to 5 at the digits of the text's hash and those up to 10
-    at the id's. want: the bytes that go left of the cut, counted within what the key fixes so far.
+    at the id's. A heavy text is a digit of its own in round 1, and the ids follow at once. want: the bytes
+    that go left of the cut, counted within what the key fixes so far.
     """
     nth = F.col("round") - 1
     part = F.when(F.col("round") == 0, 0).otherwise(F.floor(nth / DIGITS) + 1).cast("int")
     power = lambda digits: F.element_at(F.array(*[F.lit(1 << DIGIT * i) for i in range(DIGITS + 1)]), digits + 1)
     low = F.when(F.col("round") == 0, 0).otherwise(DIGITS - 1 - nth % DIGITS).cast("int")
-    at = level.where("NOT done").select("node", "dim", "want", "k0", "k1", "k2", part.alias("part"), low.alias("low"))
-    here = placed.join(small_side(at), "node").withColumn("k", _pick(dims))
+    nodes = [*level.columns, "part", "low"]
+    here = placed.join(small_side(level.withColumns({"part": part, "low": low})), F.col("shard") == F.col("node")).withColumn("k", _pick(dims))
     fixed = ((F.col("part") < 1) | (F.col("k") == F.col("k0"))) & ((F.col("part") < 2) | (F.col("h") == F.col("k1")))
     own = F.when(F.col("part") == 1, F.col("h")).otherwise(F.col("d"))
     known = F.when(F.col("part") == 1, F.col("k1")).otherwise(F.col("k2"))
     above = power(F.col("low") + 1)
-    fixed = fixed & ((F.col("part") == 0) | (own - own % above == known - known % above))
-    digit = F.when(F.col("part") == 0, F.col("k")).otherwise(((own % above - own % power(F.col("low"))) / power(F.col("low"))).cast("long")).alias("digit")
-    sums = here.where(fixed).groupBy("node", "want", digit).agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
+    top = F.col("low") == DIGITS - 1
+    fixed = fixed & ((F.col("part") == 0) | top | (own - own % above == known - known % above))
+    digit = ((own % above - own % power(F.col("low"))) / power(F.col("low"))).cast("long")
+    digit = F.when((F.col("part") == 1) & top & (F.col("h") >= _HEAVY), F.col("h")).otherwise(digit)
+    # A node that is done passes through as one digit.
+    digit = F.when(F.col("done"), F.lit(-1)).when(F.col("part") == 0, F.col("k")).otherwise(digit).alias("digit")
+    sums = here.where(F.col("done") | fixed).groupBy(*nodes, digit).agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
     one = Window.partitionBy("node").orderBy("digit")
     sums = sums.withColumn("before", F.coalesce(F.sum("b").over(one.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    fits = (F.col("before") + F.col("b") > F.col("want")) | F.lead("digit").over(one).isNull()
-    picked = sums.withColumn("fits", fits).where("fits").groupBy("node").agg(F.min(F.struct("digit", "before", "b", "n")).alias("x"))
-    df = level.join(small_side(picked), "node", "left")
-    before, b = F.col("x.before"), F.col("x.b")
+    # Sizes are positive, so this is one row a node: the first that reaches want, else the last.
+    reached = F.col("before") + F.col("b") > F.col("want")
+    picked = sums.withColumn("last", F.lead("digit").over(one).isNull())
+    picked = picked.where((reached & (F.col("before") <= F.col("want"))) | (F.col("last") & ~reached))
+    before, b = F.col("before"), F.col("b")
     # Within a text's hash the cut may snap to the nearest bound; a light group isn't split.
-    small = (F.col("x.n") == 1) | (b <= F.when(F.col("round") <= DIGITS, light).otherwise(light * 0.25))
+    small = (F.col("n") == 1) | (b <= F.when(F.col("round") <= DIGITS, light).otherwise(light * 0.25))
     ends = (F.col("round") == 2 * DIGITS) | small
     past = F.when(ends & (F.col("want") - before > before + b - F.col("want")), 1).otherwise(0)
-    add = (F.col("x.digit") + past) * power(low)
-    open_ = F.col("x").isNotNull()
-    return df.select(
-        "node", "leaves", "first", "dim",
+    heavy = (F.col("part") == 1) & (F.col("digit") >= _HEAVY)
+    add = F.when(heavy, F.col("digit") + past).otherwise((F.col("digit") + past) * power(F.col("low")))
+    open_ = ~F.col("done")
+    return picked.select(
+        "node", "of", "left", "dim",
         F.when(open_ & ~ends, F.col("want") - before).otherwise(F.col("want")).alias("want"),
-        *[F.when(open_ & (part == i), F.col(f"k{i}") + add).otherwise(F.col(f"k{i}")).cast("long").alias(f"k{i}") for i in range(3)],
-        F.when(open_, F.col("round") + 1).otherwise(F.col("round")).alias("round"),
-        (F.col("done") | ~open_ | ends).alias("done"),
+        *[F.when(open_ & (F.col("part") == i), F.col(f"k{i}") + add).otherwise(F.col(f"k{i}")).cast("long").alias(f"k{i}") for i in range(3)],
+        F.when(heavy, DIGITS + 1).otherwise(F.col("round") + 1).alias("round"),
+        (F.col("done") | ends).alias("done"),
     )
 
 
