@@ -2,12 +2,13 @@
 
 A text is compressed whole and in fixed chunks. Repetitive text compresses too well and noise too
 badly; how well clean prose compresses depends on the length, so the limits are a table over bytes.
-fit_bands() takes the table from a bounded sample of documents that are labelled good; without such
-labels the wide limits of Bands() hold, which any prose meets.
+fit_bands() takes the table from all documents that are labelled good; without such labels the wide
+limits of Bands() hold, which any prose meets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, texts
+from .common import arrow_map, cut, modest, texts
 
 
 @dataclass(frozen=True)
@@ -126,40 +127,64 @@ def _measured(level: int):
             found = [(len(x), len(compressor.compress(x)), len(x.split()) >= 50) for x in texts(batch)]
             columns = [batch.column(0), *(pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.bool_()), strict=True))]
             if found:
-                yield pa.RecordBatch.from_arrays(columns, names=["sample_id", "size", "compressed", "enough"])
+                yield pa.RecordBatch.from_arrays(columns, names=["own_id", "size", "compressed", "enough"])
 
     return run
 
 
-def limits_of(sizes: np.ndarray, ratios: np.ndarray, tail: float, margin: float, per_band: int, wide: Bands) -> tuple[tuple[int, float, float], ...]:
-    """Bands of a quarter of an octave or more, with per_band texts each: quantiles of their ratios and the margin.
+def band_starts(sizes: np.ndarray, counts: np.ndarray, per_band: int, least: int) -> tuple[list[int], int]:
+    """First sizes of bands of a quarter of an octave or more, with per_band texts each, and the first size beyond them.
 
-    Beyond the greatest size, and where there are too few texts, the wide limits hold.
+    sizes: distinct and ascending, each of counts texts.
     """
-    least = wide.limits[0][0]
-    order = np.argsort(sizes, kind="stable")
-    sizes, ratios = sizes[order], ratios[order]
-    at = int(np.searchsorted(sizes, least))
-    out, start = [], least
-    while len(sizes) - at >= per_band:
+    counts, sizes = counts[sizes >= least], sizes[sizes >= least]
+    upto = np.cumsum(counts)
+    n = int(upto[-1]) if len(upto) else 0
+    starts, start, done = [], float(least), 0
+    while n - done >= per_band:
         end = start * 2**0.25
-        stop = max(int(np.searchsorted(sizes, end)), at + per_band)
-        if len(sizes) - stop < per_band:
+        stop = max(int(np.searchsorted(sizes, end)), int(np.searchsorted(upto, done + per_band)) + 1)
+        if n - int(upto[stop - 1]) < per_band:
             stop = len(sizes)
-        own = ratios[at:stop]
-        out.append((int(start), float(np.quantile(own, tail) * (1 - margin)), float(np.quantile(own, 1 - tail) * (1 + margin))))
-        at, start = stop, max(end, float(sizes[stop - 1]) + 1)
-    if not out:
+        starts.append(math.ceil(start))
+        done, start = int(upto[stop - 1]), max(end, float(sizes[stop - 1]) + 1)
+    return starts, math.ceil(start)
+
+
+def _limits(bands: list[tuple[int, float, float]], beyond: int, margin: float, wide: Bands) -> tuple[tuple[int, float, float], ...]:
+    """The table of bands (start, low quantile, high quantile) with the margin; beyond them, and where there are none, the wide limits hold."""
+    if not bands:
         return wide.limits
-    above = [x for x in wide.limits if x[0] > start]
-    here = [x for x in wide.limits if x[0] <= start][-1:]
-    return (*out, *((int(start), lo, hi) for _, lo, hi in here), *above)
+    out = [(start, low * (1 - margin), high * (1 + margin)) for start, low, high in bands]
+    here = [x for x in wide.limits if x[0] <= beyond][-1:]
+    return (*out, *((beyond, lo, hi) for _, lo, hi in here), *(x for x in wide.limits if x[0] > beyond))
+
+
+def limits_of(sizes: np.ndarray, ratios: np.ndarray, tail: float, margin: float, per_band: int, wide: Bands) -> tuple[tuple[int, float, float], ...]:
+    """The table of fit_bands() for texts at hand: quantiles of the ratios of each band of band_starts(), and the margin."""
+    starts, beyond = band_starts(*np.unique(sizes, return_counts=True), per_band, wide.limits[0][0])
+    bands = []
+    for start, end in zip(starts, [*starts, beyond][1:], strict=True):
+        own = ratios[(sizes >= start) & (sizes < end)]
+        bands.append((start, float(np.quantile(own, tail)), float(np.quantile(own, 1 - tail))))
+    return _limits(bands, beyond, margin, wide)
+
+
+def _of_good(docs: DataFrame, good: DataFrame, level: int) -> DataFrame:
+    """(own_id, size, compressed, enough) of the texts of docs (own_id, text) whose ids are good; no text is shuffled.
+
+    Up to 1,000,000 ids are broadcast, so that only their texts are compressed; beyond, all are, and the sizes meet the ids.
+    """
+    same = F.col("own_id") == F.col("sample_id")
+    kind = docs.schema["own_id"].dataType.simpleString()
+    measured = lambda rows: arrow_map(rows.select("own_id", "text"), _measured(level), f"own_id {kind}, size long, compressed long, enough boolean")
+    few = modest(good)
+    return measured(docs.join(few, same, "left_semi")) if few is not good else measured(docs).join(good, same, "left_semi")
 
 
 def fit_bands(
     docs: DataFrame,
     labels: DataFrame,
-    sample: int = 20_000,
     tail: float = 0.002,
     margin: float = 0.02,
     per_band: int = 50,
@@ -167,22 +192,28 @@ def fit_bands(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> Bands:
-    """Bands from the documents that labels calls good (quality = 1, 50 words or more), at most `sample` of them.
+    """Bands from all documents that labels calls good (quality = 1, 50 words or more).
 
-    The sample is drawn by a hash of the id, so it is the same in every run; its bound is what lets the
-    driver take the quantiles. A band reaches from the `tail` to the 1 - tail quantile of its documents'
-    ratios, and `margin` further. Null ids are left out, ids repeated in docs count once. Without labels,
-    or with fewer good documents than per_band, the result is the wide table.
+    A band reaches from the exact `tail` to the 1 - tail quantile of its documents' ratios, and `margin` further.
+    Spark counts the documents by size and takes the quantiles by band, so the driver sees neither: it gets the counts by
+    size (by 16 significant bits of it, so up to some 500,000 whatever the input) and the quantiles. Null ids are left out,
+    ids repeated in docs count once. Without labels, or with fewer good documents than per_band, the result is the wide table.
     """
     wide = wide or Bands()
-    good = labels.where("quality = 1").select(F.col(id_col).alias("sample_id")).where("sample_id IS NOT NULL").distinct()
-    good = F.broadcast(good.orderBy(F.xxhash64("sample_id"), "sample_id").limit(sample))
-    rows = docs.select(F.col(id_col).alias("own_id"), F.col(text_col).alias("text")).join(good, F.col("own_id") == F.col("sample_id"))
-    kind = rows.schema["sample_id"].dataType.simpleString()
-    found = arrow_map(rows.select("sample_id", "text"), _measured(wide.level), f"sample_id {kind}, size long, compressed long, enough boolean")
-    found = found.groupBy("sample_id").agg(F.min(F.struct("size", "compressed", "enough")).alias("x")).where("x.enough AND x.size > 0")
-    got = np.array([(r.size, r.compressed) for r in found.select("x.size", "x.compressed").collect()], np.float64).reshape(-1, 2)
-    return replace(wide, limits=limits_of(got[:, 0], got[:, 1] / np.maximum(got[:, 0], 1), tail, margin, per_band, wide))
+    good = cut(labels.where("quality = 1").select(F.col(id_col).alias("sample_id")).where("sample_id IS NOT NULL").distinct())
+    found = _of_good(docs.select(F.col(id_col).alias("own_id"), F.col(text_col).alias("text")), good, wide.level)
+    found = found.groupBy("own_id").agg(F.min(F.struct("size", "compressed", "enough")).alias("x")).where("x.enough AND x.size > 0")
+    found = cut(found.groupBy("x.size", "x.compressed").agg(F.count(F.lit(1)).alias("n")))
+    step = F.expr("shiftleft(1L, greatest(0, length(bin(size)) - 16))")
+    by_size = found.groupBy((F.col("size") - F.col("size") % step).alias("size")).agg(F.sum("n").alias("n")).collect()
+    sizes, counts = np.array(sorted((r.size, r.n) for r in by_size), np.int64).reshape(-1, 2).T
+    starts, beyond = band_starts(sizes, counts, per_band, wide.limits[0][0])
+    if not starts:
+        return wide
+    band = sum((F.col("size") >= x).cast("int") for x in starts)
+    quantiles = F.percentile(F.col("compressed") / F.col("size"), [tail, 1 - tail], F.col("n")).alias("q")
+    rows = found.where(F.col("size").between(starts[0], beyond - 1)).groupBy(band.alias("band")).agg(quantiles).collect()
+    return replace(wide, limits=_limits(sorted((starts[r.band - 1], *r.q) for r in rows), beyond, margin, wide))
 
 
 def quality_rules(docs: DataFrame, bands: Bands | None = None, text_col: str = "text") -> DataFrame:
