@@ -197,6 +197,16 @@ def test_bands_are_fitted_to_all_good_documents(spark):
     assert len(got) == len(want) and np.allclose(got, want, rtol=1e-12, atol=0)
 
 
+def test_batches_are_bounded_by_bytes():
+    import pyarrow as pa
+    from tidemark.llm import common
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5_000)), pa.array(["x" * 2_000] * 4_999 + ["y" * 3_000_000])], names=["id", "text"])
+    out = list(common.sliced(iter([batch, batch.slice(0, 0), batch.slice(7, 3)])))
+    assert pa.Table.from_batches(out[:-1]).to_pydict() == pa.Table.from_batches([batch]).to_pydict() and out[-1].num_rows == 3
+    assert all(x.nbytes <= 1.1 * common.BATCH_BYTES for x in out if "y" not in x.column(1)[-1].as_py())
+
+
 def plain_fingerprint(text):
     w = PLAIN.findall(lower(text))
     shingles = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])

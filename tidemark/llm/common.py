@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -23,11 +24,13 @@ ALNUM_LOWER = bytes(
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Lower-cases A-Z alone.
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: Bytes of the rows that a Python function gets at once; what it makes of them, as words or pieces, is many times as large.
+BATCH_BYTES = 1 << 20
 
 
 __all__ = [
     "across_labels", "ALNUM_LOWER", "LOWER_ASCII", "NOT_ALNUM", "alnum_words", "arrow_map", "connected_components", "cut", "ensure_checkpoint_dir",
-    "free_name", "in_blocks", "modest", "remove", "ship", "text_key", "texts",
+    "free_name", "in_blocks", "modest", "remove", "ship", "sliced", "text_key", "texts",
 ]
 
 
@@ -74,10 +77,18 @@ def ship(spark: SparkSession) -> None:
     sc._tidemark_shipped = True
 
 
+def sliced(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `most` bytes, or a row: Spark bounds a batch by its rows alone, whatever they hold."""
+    for batch in batches:
+        step = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
 def arrow_map(df: DataFrame, run, schema) -> DataFrame:
-    """df.mapInArrow() with this package at hand in the workers."""
+    """df.mapInArrow() with this package at hand in the workers, over batches of bounded bytes."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: run(sliced(batches)), schema)
 
 
 def text_key(text: Column) -> Column:

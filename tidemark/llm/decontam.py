@@ -142,8 +142,7 @@ def _scan(shared, window: int, text_col: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machines = compile_patterns(shared.value, window)
         for batch in batches:
-            split = [alnum_words(x) for x in texts(batch, text_col)]
-            yield _judged(batch, keep, [(len(w), *find(w, machines)) for w in split])
+            yield _judged(batch, keep, [(len(w), *find(w, machines)) for w in map(alnum_words, texts(batch, text_col))])
 
     return run
 
