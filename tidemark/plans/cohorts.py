@@ -94,30 +94,28 @@ def cohorts(wh: Warehouse, as_of: AsOf = AsOf()) -> DataFrame:
 
 
 def monthly_facts(wh: Warehouse) -> DataFrame:
-    """(merchant_id, m, active, revenue, gtv, n_gtv): what a merchant did in month m, from all sources in one aggregate."""
-    none, dec = F.lit(None).cast("decimal(38,12)"), "decimal(38,12)"
-    sales = wh.sales().select("merchant_id", month_text_index(F.col("month")).alias("m"), F.lit(1).alias("active"), none.alias("revenue"), none.alias("gtv"))
-    invoices = revenue_rows(wh).select(
-        "merchant_id", month_index(F.timestamp_seconds("date")).alias("m"), F.lit(None).cast("int").alias("active"), F.col("eur").cast(dec).alias("revenue"), none.alias("gtv")
-    )
+    """(merchant_id, m, kind, amount): what a merchant did in month m, a row for each month of sales, invoice and receipt.
+
+    kind: 'a' months of sales, without an amount; 'r' revenue; 'g' volume. Rows are narrow and not summed here: a merchant
+    has few of a kind in one month, so a sum by both would hold about every row of a task in memory and spare none.
+    """
+    stacked = lambda df, m, kind, amount: df.select("merchant_id", m.alias("m"), F.lit(kind).alias("kind"), amount.cast("decimal(38,12)").alias("amount"))
+    sales = stacked(wh.sales(), month_text_index(F.col("month")), "a", F.lit(None))
+    invoices = stacked(revenue_rows(wh), month_index(F.timestamp_seconds("date")), "r", F.col("eur"))
     receipts = with_rates(wh.receipts(), wh.fx()).withColumn("d", parsed_date(F.col("receipt_date"))).where("d IS NOT NULL")
-    receipts = receipts.select(
-        "merchant_id", month_index(F.col("d")).alias("m"), F.lit(None).cast("int").alias("active"), none.alias("revenue"), money("total_money", "per_minor").cast(dec).alias("gtv")
-    )
-    rows = sales.unionByName(invoices).unionByName(receipts)
-    return rows.groupBy("merchant_id", "m").agg(F.max("active").alias("active"), F.sum("revenue").alias("revenue"), F.sum("gtv").alias("gtv"))
+    return sales.unionByName(invoices).unionByName(stacked(receipts, month_index(F.col("d")), "g", money("total_money", "per_minor")))
 
 
 def cohort_cells(wh: Warehouse) -> DataFrame:
     """(c, age, active, revenue, gtv) of each cohort and age at which anything happened.
 
-    The measures of a merchant's month are stacked before the join with its cohort; full outer joins of
-    three aggregates give the same cells with two more shuffles.
+    The measures are stacked before one join with the merchants' cohorts, and summed by cohort and age alone, of which
+    there are few: no task holds sums by merchant. sales() has a row for each merchant and month, so active merchants are its rows.
     """
     base = wh.merchants().where("created_at IS NOT NULL").select("merchant_id", month_index(F.col("created_at")).alias("c"))
     rows = monthly_facts(wh).join(base, "merchant_id").withColumn("age", F.col("m") - F.col("c")).where("age >= 0")
-    sums = [F.coalesce(F.sum(k).cast("double"), F.lit(0.0)).alias(k) for k in ("revenue", "gtv")]
-    return rows.groupBy("c", "age").agg(F.count("active").alias("active"), *sums)
+    total = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("amount"))).cast("double"), F.lit(0.0))
+    return rows.groupBy("c", "age").agg(F.count_if(F.col("kind") == "a").alias("active"), total("r").alias("revenue"), total("g").alias("gtv"))
 
 
 def cohort_aging(wh: Warehouse, as_of: AsOf = AsOf(), most_age: int = 120) -> DataFrame:
