@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import merchant_key, month_diff, month_index, month_text, month_text_index, parsed_date, percent, ratio, rounded
+from ..functions.exprs import merchant_key, month_diff, month_index, month_text, parsed_date, percent, ratio, rounded
 from ..operators.currency import money, region_default, with_rates
 from ..operators.ranking import best_by, top
 from ..sources.params import AsOf
@@ -29,47 +29,49 @@ def revenue_rows(wh: Warehouse) -> DataFrame:
     return rows.select("merchant_id", "date", money("total", "per_cent").alias("eur"))
 
 
-def merchant_facts(wh: Warehouse, as_of: AsOf) -> DataFrame:
-    """One row a merchant: activity, paying and cancelled subscriptions, volumes and revenue.
+def merchant_states(wh: Warehouse, as_of: AsOf) -> DataFrame:
+    """(merchant_id, active, paying, cancelled, mrr): a row for each merchant that is one of the three; flags are 1 or null.
 
-    The four sources are stacked and aggregated by merchant once, so each row is shuffled at most one
-    time and partial sums before that, instead of one join a source.
+    Only rows that set a flag are aggregated, as each merchant counts once and its MRR is rounded.
     """
-    kinds = ("active", "paying", "mrr", "cancelled", "gtv_30d", "gtv", "revenue")
-    exact = {"mrr", "gtv_30d", "gtv", "revenue"}
-
-    def stacked(df: DataFrame, **known) -> DataFrame:
-        cols = [known.get(k, F.lit(None)).cast("decimal(38,12)" if k in exact else "int").alias(k) for k in kinds]
-        return df.select("merchant_id", *cols)
-
+    none = F.lit(None).cast("int")
     sales = wh.sales(since=as_of.month_before.replace(day=1)).where(F.col("month") >= as_of.active_month)
     subs = with_rates(billed(wh, wh.subscriptions()), wh.fx(), region_default(F.col("region"))).where("merchant_id IS NOT NULL")
     paying = (F.col("status") == "active") & F.col("per_cent").isNotNull()
     gone = (F.col("status") == "cancelled") & (F.col("cancelled_at") >= F.unix_seconds(day(as_of.days_30).cast("timestamp")))
+    mrr = F.when(paying, money("mrr", "per_cent").cast("decimal(38,12)")).alias("mrr")
+    states = subs.where(paying | gone).select("merchant_id", none.alias("active"), F.when(paying, 1).alias("paying"), F.when(gone, 1).alias("cancelled"), mrr)
+    states = states.unionByName(sales.select("merchant_id", F.lit(1).alias("active")), allowMissingColumns=True)
+    flags = [F.max(k).alias(k) for k in ("active", "paying", "cancelled")]
+    return states.groupBy("merchant_id").agg(*flags, F.round(F.sum("mrr"), 2).cast("decimal(38,12)").alias("mrr"))
+
+
+def cohort_sums(wh: Warehouse, as_of: AsOf, base: DataFrame) -> DataFrame:
+    """(sm, active, paying, cancelled, mrr, gtv_30d, gtv, revenue) of each cohort with any; base: merchant_id and cohort m.
+
+    Volume and revenue are summed by cohort alone, of which there are few, so no task holds sums of them by merchant. They
+    and the states are stacked before one join with the cohorts. kind: 's' states, 'n' volume of the last 30 days, 'g' other volume, 'r' revenue.
+    """
     receipts = with_rates(wh.receipts(), wh.fx())
     recent = parsed_date(F.col("receipt_date")) >= day(as_of.days_30)
-    eur = money("total_money", "per_minor")
-    facts = stacked(sales, active=F.lit(1))
-    facts = facts.unionByName(
-        stacked(subs, paying=F.when(paying, 1), mrr=F.when(paying, money("mrr", "per_cent")), cancelled=F.when(gone, 1))
-    )
-    facts = facts.unionByName(stacked(receipts, gtv_30d=F.when(recent, eur), gtv=eur))
-    facts = facts.unionByName(stacked(revenue_rows(wh), revenue=F.col("eur")))
-    facts = facts.groupBy("merchant_id").agg(*[(F.sum if k in exact else F.max)(k).alias(k) for k in kinds])
-    return facts.withColumn("mrr", F.round("mrr", 2).cast("decimal(28,2)"))
+    stacked = lambda df, kind, amount: df.select("merchant_id", kind.alias("kind"), amount.cast("decimal(38,12)").alias("amount"))
+    rows = stacked(receipts, F.when(recent, "n").otherwise("g"), money("total_money", "per_minor"))
+    rows = rows.unionByName(stacked(revenue_rows(wh), F.lit("r"), F.col("eur"))).where("amount IS NOT NULL")
+    states = merchant_states(wh, as_of).withColumnRenamed("mrr", "amount").withColumn("kind", F.lit("s"))
+    rows = states.unionByName(rows, allowMissingColumns=True).join(base.hint("shuffle_hash"), "merchant_id")
+    total = lambda *kinds: F.sum(F.when(F.col("kind").isin(*kinds), F.col("amount"))).cast("double")
+    return rows.groupBy(F.col("m").alias("sm")).agg(
+        *[F.count(k).alias(k) for k in ("active", "paying", "cancelled")],
+        total("s").alias("mrr"), total("n").alias("gtv_30d"), total("n", "g").alias("gtv"), total("r").alias("revenue"),
+    )
 
 
 def cohorts(wh: Warehouse, as_of: AsOf = AsOf()) -> DataFrame:
     """A row for each month of registration, the newest first."""
-    base = wh.merchants().where("created_at IS NOT NULL").select("merchant_id", "created_at")
-    df = base.join(merchant_facts(wh, as_of), "merchant_id", "left")
-    sums = {k: F.coalesce(F.sum(k).cast("double"), F.lit(0.0)).alias(k) for k in ("mrr", "gtv_30d", "gtv", "revenue")}
-    df = df.groupBy(month_index(F.col("created_at")).alias("m")).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(k).alias(k) for k in ("active", "paying", "cancelled")],
-        *sums.values(),
-        F.min("created_at").alias("first"),
-    )
+    base = wh.merchants().where("created_at IS NOT NULL").select("merchant_id", month_index(F.col("created_at")).alias("m"), "created_at")
+    sizes = base.groupBy("m").agg(F.count(F.lit(1)).alias("n"), F.min("created_at").alias("first"))
+    df = sizes.join(cohort_sums(wh, as_of, base.select("merchant_id", "m")), F.col("m") == F.col("sm"), "left")
+    df = df.fillna(0, ["active", "paying", "cancelled", "mrr", "gtv_30d", "gtv", "revenue"])
     c = F.col
     return df.select(
         month_text(c("m")).alias("cohort_month"),
@@ -100,7 +102,7 @@ def monthly_facts(wh: Warehouse) -> DataFrame:
     has few of a kind in one month, so a sum by both would hold about every row of a task in memory and spare none.
     """
     stacked = lambda df, m, kind, amount: df.select("merchant_id", m.alias("m"), F.lit(kind).alias("kind"), amount.cast("decimal(38,12)").alias("amount"))
-    sales = stacked(wh.sales(), month_text_index(F.col("month")), "a", F.lit(None))
+    sales = stacked(wh.sale_months(), F.col("m"), "a", F.lit(None))
     invoices = stacked(revenue_rows(wh), month_index(F.timestamp_seconds("date")), "r", F.col("eur"))
     receipts = with_rates(wh.receipts(), wh.fx()).withColumn("d", parsed_date(F.col("receipt_date"))).where("d IS NOT NULL")
     return sales.unionByName(invoices).unionByName(stacked(receipts, month_index(F.col("d")), "g", money("total_money", "per_minor")))
@@ -110,10 +112,10 @@ def cohort_cells(wh: Warehouse) -> DataFrame:
     """(c, age, active, revenue, gtv) of each cohort and age at which anything happened.
 
     The measures are stacked before one join with the merchants' cohorts, and summed by cohort and age alone, of which
-    there are few: no task holds sums by merchant. sales() has a row for each merchant and month, so active merchants are its rows.
+    there are few: no task holds sums by merchant. sale_months() has a row for each merchant and month, so active merchants are its rows.
     """
     base = wh.merchants().where("created_at IS NOT NULL").select("merchant_id", month_index(F.col("created_at")).alias("c"))
-    rows = monthly_facts(wh).join(base, "merchant_id").withColumn("age", F.col("m") - F.col("c")).where("age >= 0")
+    rows = monthly_facts(wh).join(base.hint("shuffle_hash"), "merchant_id").withColumn("age", F.col("m") - F.col("c")).where("age >= 0")
     total = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("amount"))).cast("double"), F.lit(0.0))
     return rows.groupBy("c", "age").agg(F.count_if(F.col("kind") == "a").alias("active"), total("r").alias("revenue"), total("g").alias("gtv"))
 

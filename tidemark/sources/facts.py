@@ -26,7 +26,9 @@ def write_bucketed(wh: Warehouse, prefix: str, buckets: int = 200) -> None:
 
 
 class BucketedWarehouse(Warehouse):
-    """The same views over the tables of write_bucketed()."""
+    """The same views over the tables of write_bucketed(), which are sorted by the order key, so they are merged."""
+
+    orders_join = "merge"
 
     def __init__(self, spark: SparkSession, sf_dir: str, prefix: str, **options):
         super().__init__(spark, sf_dir, **options)

@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import month_index
 from .constants import fx_rates
 
 TABLES = tuple("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split())
@@ -60,6 +61,10 @@ def billing_id(key: Column) -> Column:
 
 
 class Warehouse:
+    #: How orders meet their lines where they aren't broadcast: only a task's orders are held, a few narrow columns of
+    #: a quarter of the rows, where a sort would hold its lines too.
+    orders_join = "shuffle_hash"
+
     def __init__(self, spark: SparkSession, sf_dir: str, broadcast_keys: int = 2_000_000):
         """broadcast_keys: order keys that a broadcast may hold, about 30 MB by default."""
         self.spark, self.sf_dir, self.broadcast_keys = spark, sf_dir, broadcast_keys
@@ -95,11 +100,11 @@ class Warehouse:
         lines = self.table("lineitem").select(F.col("l_orderkey").alias("k"))
         if wanted is not None:
             few = wanted.count() <= self.broadcast_keys
-            lines = lines.join(F.broadcast(wanted) if few else wanted, F.col("k") == F.col("wanted"), "left_semi")
+            lines = lines.join(F.broadcast(wanted) if few else wanted.hint(self.orders_join), F.col("k") == F.col("wanted"), "left_semi")
         return lines.groupBy("k").agg(F.count(F.lit(1)).alias("lines"))
 
-    def sales(self, since: date | None = None, until: date | None = None) -> DataFrame:
-        """Sales of a merchant in a month. Lines are counted by order before the join, so only counts meet orders.
+    def sold(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        """(o_custkey, o_orderdate, lines) of each order with lines. They are counted by order before the join, so only counts meet orders.
 
         Bounds cut the orders first, and only their lines are counted: the keys are broadcast if they were
         counted to be few, so the lines of other orders never leave the scan. Else both sides are shuffled
@@ -107,10 +112,25 @@ class Warehouse:
         """
         orders = bounded(self.table("orders"), "o_orderdate", since, until).select("o_orderkey", "o_custkey", "o_orderdate")
         lines = self.order_lines(orders.select(F.col("o_orderkey").alias("wanted")) if since or until else None)
+        return orders.hint(self.orders_join).join(lines, F.col("o_orderkey") == F.col("k")).select("o_custkey", "o_orderdate", "lines")
+
+    def sales(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        """Sales of a merchant in a month."""
         month = F.date_format("o_orderdate", "yyyy-MM")
-        df = orders.join(lines, F.col("o_orderkey") == F.col("k")).groupBy(F.col("o_custkey").alias("merchant_id"), month.alias("month"))
+        df = self.sold(since, until).groupBy(F.col("o_custkey").alias("merchant_id"), month.alias("month"))
         return checked("sales", df.agg(F.sum("lines").alias("sales_count")))
 
+    def sale_months(self) -> DataFrame:
+        """(merchant_id, m): the months of sales() by month_index(), without those of unknown date.
+
+        Months are bits of a number for each five years, so a task holds about a row a merchant, where sales() holds one for each month.
+        """
+        m, bits = month_index(F.col("o_orderdate")), F.col("bits")
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (m % 60).cast("int"))
+        df = self.sold().groupBy(F.col("o_custkey").alias("merchant_id"), (m - m % 60).alias("first")).agg(F.bit_or(bit).alias("bits"))
+        df = df.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(59)))).where(F.getbit(bits, F.col("i")) == 1)
+        return df.select("merchant_id", (F.col("first") + F.col("i")).alias("m"))
+
     def receipts(self, since: date | None = None, until: date | None = None) -> DataFrame:
         code = F.substring("o_orderpriority", 1, 1)
         currency = F.when(code == "1", "EUR").when(code == "2", "USD").when(code == "3", "JPY").when(code == "5", "XXX")
@@ -155,7 +175,7 @@ class Warehouse:
     def invoices(self, since: date | None = None, until: date | None = None) -> DataFrame:
         lines = bounded(self.table("lineitem"), "l_shipdate", since, until)
         orders = self.table("orders").select("o_orderkey", "o_custkey")
-        df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        df = lines.join(orders.hint(self.orders_join), F.col("l_orderkey") == F.col("o_orderkey"))
         total = F.round(F.col("l_extendedprice") * 100).cast("long")
         paid = F.when(F.col("l_returnflag") == "A", total).otherwise(F.lit(0))
         status = F.when(F.col("l_returnflag") == "A", "paid").when(F.col("l_returnflag") == "N", "payment_due").otherwise("voided")
